@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from quillspark.llm.media import op1_flac
+from quillspark.llm.simhash import op2_simhash
 
 
 def queries() -> dict:
-    return {"op1_flac": op1_flac}
+    return {"op1_flac": op1_flac, "op2_simhash": op2_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
