@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from quillspark.llm.media import op1_flac
 from quillspark.llm.simhash import op2_simhash
+from quillspark.llm.token_files import op6_orc
 
 
 def queries() -> dict:
-    return {"op1_flac": op1_flac, "op2_simhash": op2_simhash}
+    return {"op1_flac": op1_flac, "op2_simhash": op2_simhash, "op6_orc": op6_orc}
 
 
 def oracle_sql() -> dict[str, str]:
