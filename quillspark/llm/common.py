@@ -42,13 +42,14 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def fold_of(doc_id: str | Column) -> Column:
-    """crc32 of the id's decimal text, modulo 4. A null id counts as the empty text."""
-    return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("string")) % 4
+def fold() -> Column:
+    """crc32 of doc_id's decimal text, modulo 4; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4
 
 
-def text_fold() -> Column:
-    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4
+def draw() -> Column:
+    """A fixed pseudo-random number of 0 to 1 for each doc_id."""
+    return F.pmod(F.xxhash64(F.col("doc_id"), F.lit("draw")), F.lit(1 << 40)) / float(1 << 40)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -65,12 +66,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[ends[0] : ends[-1]], ends - ends[0]
 
 
-def steps(offsets: np.ndarray, limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most limit bytes, or of one row."""
+def steps(offsets: np.ndarray, limit: int = STEP_BYTES, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most limit bytes and so many rows, or of one row."""
     a, n = 0, len(offsets) - 1
     while a < n:
         b = int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1
-        b = min(n, max(b, a + 1))
+        b = min(n, a + rows, max(b, a + 1))
         yield a, b
         a = b
 

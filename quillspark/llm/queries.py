@@ -5,10 +5,11 @@ from __future__ import annotations
 from quillspark.llm.media import op1_flac
 from quillspark.llm.simhash import op2_simhash
 from quillspark.llm.token_files import op6_orc
+from quillspark.llm.toxicity import op10_toxicity
 
 
 def queries() -> dict:
-    return {"op1_flac": op1_flac, "op2_simhash": op2_simhash, "op6_orc": op6_orc}
+    return {"op1_flac": op1_flac, "op2_simhash": op2_simhash, "op6_orc": op6_orc, "op10_toxicity": op10_toxicity}
 
 
 def oracle_sql() -> dict[str, str]:
