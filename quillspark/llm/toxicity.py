@@ -16,7 +16,7 @@ EXAMPLES = 2000  # labelled rows of each class, at most
 NEIGHBOURS = 25
 BLOCK = 64  # examples under one maximum
 CHI2 = 30.0  # association with the label from which a term is in the vocabulary
-SUPPORT = 0.03  # share of the smaller class's examples that a term is in, at least: copies of one text don't make a term
+SUPPORT = 0.01  # share of the smaller class's examples that a term is in, at least: copies of one text don't make a term
 TERMS = 4096
 THRESHOLD = 0.3
 
