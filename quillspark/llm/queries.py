@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from quillspark.llm.langid import op4_langid
 from quillspark.llm.media import op1_flac
+from quillspark.llm.pii import op5_pii
 from quillspark.llm.quality import op9_quality
 from quillspark.llm.simhash import op2_simhash
 from quillspark.llm.token_files import op6_orc
@@ -11,7 +12,7 @@ from quillspark.llm.toxicity import op10_toxicity
 
 
 def queries() -> dict:
-    return {"op1_flac": op1_flac, "op2_simhash": op2_simhash, "op4_langid": op4_langid, "op6_orc": op6_orc, "op9_quality": op9_quality, "op10_toxicity": op10_toxicity}
+    return {"op1_flac": op1_flac, "op2_simhash": op2_simhash, "op4_langid": op4_langid, "op5_pii": op5_pii, "op6_orc": op6_orc, "op9_quality": op9_quality, "op10_toxicity": op10_toxicity}
 
 
 def oracle_sql() -> dict[str, str]:
