@@ -16,7 +16,16 @@ from pyspark.sql import functions as F
 STEP_BYTES = 2 << 20
 
 
+#: What Spark puts into one Arrow batch for a Python worker, at most: rows and bytes. It bounds a worker's memory.
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder; Arrow batches of the session are held to BATCH_ROWS and BATCH_BYTES where they were larger."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key)
+        if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= most:
+            spark.conf.set(key, str(most))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
