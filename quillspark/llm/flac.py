@@ -323,7 +323,7 @@ def decode_frames(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
         x[i, on] = eight(at[on])
         at[on] += 8
     coefs, shift = np.zeros((int(order.max(initial=0)), total), np.int32), np.zeros(total, np.int32)
-    for o in range(1, 5):
+    for o in range(1, min(4, len(coefs)) + 1):
         coefs[:o, np.flatnonzero(kind == 8 + o)] = np.array(FIXED[o])[:, None]
     lpc = np.flatnonzero(kind >= 32)
     if len(lpc):
