@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
@@ -58,22 +62,41 @@ def hash_nonzeros(rows: DataFrame, key: str, text: str, dimension: int = DIMENSI
     return each.groupBy(key, F.col("s.place").alias("place")).agg(F.sum("s.sign").alias("value")).where("value <> 0")
 
 
+def _slot(word: str, dimension: int) -> tuple[int, int]:
+    h = hashlib.sha256(word.encode()).digest()
+    return int.from_bytes(h[:4], "big") % dimension, 1 if h[4] % 2 == 0 else -1
+
+
 def hash_sparse(rows: DataFrame, key: str, text: str, dimension: int = DIMENSION) -> DataFrame:
-    """(key, vector): unit vectors as arrays of (place, weight), empty where nothing is left.
+    """(key, vector): unit vectors as arrays of (place, weight) in order of place, empty where nothing is left.
 
-    The sums stay within a row, so nothing is shuffled.
+    hash_nonzeros says the same in SQL, by two shuffles of all words; this one adds up within a row,
+    in Arrow batches, and shuffles nothing.
     """
-    slots = F.array_sort(hash_slots(text, dimension))
-    run = "array<struct<place:int,value:int>>"
 
-    def step(acc: Column, s: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        more = F.struct(s.place.alias("place"), (last.value + s.sign).alias("value"))
-        return F.when(last.place == s.place, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(more))).otherwise(F.concat(acc, F.array(F.struct(s.place.alias("place"), s.sign.alias("value")))))
-
-    summed = F.filter(F.aggregate(slots, F.array().cast(run), step), lambda x: x.value != 0)
-    size = F.sqrt(F.aggregate(F.col("summed"), F.lit(0.0), lambda acc, x: acc + x.value * x.value))
-    return rows.select(key, summed.alias("summed")).select(key, F.transform("summed", lambda x: F.struct(x.place.alias("place"), (x.value / size).alias("weight"))).alias("vector"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[int, int]] = {}
+        for batch in batches:
+            ends, places, weights = [0], [], []
+            for value in batch.column(1).to_pylist():
+                counts = Counter((value or "").lower().split())
+                if len(known) > 200_000:
+                    known.clear()
+                total = np.zeros(dimension)
+                for word, n in counts.items():
+                    slot = known.get(word)
+                    if slot is None:
+                        slot = known[word] = _slot(word, dimension)
+                    total[slot[0]] += n * slot[1]
+                at = np.flatnonzero(total)
+                size = np.sqrt((total[at] ** 2).sum())
+                places.append(at)
+                weights.append(total[at] / (size or 1))
+                ends.append(ends[-1] + len(at))
+            entries = pa.StructArray.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *places]).astype(np.int32)), pa.array(np.concatenate([np.zeros(0), *weights]))], names=["place", "weight"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)], names=[key, "vector"])
+
+    return rows.select(key, text).mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, vector array<struct<place:int,weight:double>>")
 
 
 def hash_embedding(rows: DataFrame, key: str, text: str, dimension: int = DIMENSION) -> DataFrame:

@@ -7,10 +7,12 @@ shuffle beyond that.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -40,11 +42,15 @@ class SearchIndex:
     vectors: DataFrame
 
     def save(self, path: str) -> None:
-        """Postings and terms are ordered by term, so a reader's term filter skips row groups."""
-        for name in ("chunks", "sizes", "facts", "vectors"):
+        """Postings are ordered by term, so a reader's term filter skips row groups; terms and facts are counted from what was written."""
+        spark = self.postings.sparkSession
+        for name in ("chunks", "vectors"):
             getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
-        for name in ("postings", "terms"):
-            getattr(self, name).repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/{name}")
+        self.sizes.write.mode("overwrite").parquet(f"{path}/sizes")
+        self.postings.sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
+        facts, terms = corpus_facts(spark.read.parquet(f"{path}/sizes"), spark.read.parquet(f"{path}/postings"))
+        facts.write.mode("overwrite").parquet(f"{path}/facts")
+        terms.write.mode("overwrite").parquet(f"{path}/terms")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> SearchIndex:
@@ -56,21 +62,27 @@ def term_counts(rows: DataFrame, key: str, words: Column) -> DataFrame:
     return rows.select(key, F.explode(words).alias("term")).groupBy("term", key).agg(F.count("*").alias("tf"))
 
 
-def build_index(chunks: DataFrame, index_text: Column | str = "text", vector_text: Column | str = "text") -> SearchIndex:
-    """Index of (chunk_id, document_id, text, ...): call save() and load() before many searches.
+def corpus_facts(sizes: DataFrame, postings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """facts (n, mean_size) in one row, and terms (term, df, idf).
 
     Inverse document frequencies follow Okapi's rule with a floor: where a term is in more than half
     of the chunks, EPSILON times the mean over all terms is taken.
     """
-    c = F.col(index_text) if isinstance(index_text, str) else index_text
-    words = chunks.select("chunk_id", tokens(c).alias("words"))
-    sizes = words.select("chunk_id", F.size("words").cast("long").alias("size"))
-    postings = term_counts(words, "chunk_id", F.col("words"))
     facts = sizes.agg(F.count("*").alias("n"), F.avg("size").alias("mean_size"))
     df = postings.groupBy("term").agg(F.count("*").alias("df"))
     raw = df.crossJoin(F.broadcast(facts.select("n"))).select("term", "df", (F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"))
     mean = raw.agg(F.avg("raw").alias("mean_idf"))
     terms = raw.crossJoin(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, EPSILON * F.col("mean_idf")).otherwise(F.col("raw")).alias("idf"))
+    return facts, terms
+
+
+def build_index(chunks: DataFrame, index_text: Column | str = "text", vector_text: Column | str = "text") -> SearchIndex:
+    """Index of (chunk_id, document_id, text, ...): call save() and load() before many searches."""
+    c = F.col(index_text) if isinstance(index_text, str) else index_text
+    words = chunks.select("chunk_id", tokens(c).alias("words"))
+    sizes = words.select("chunk_id", F.size("words").cast("long").alias("size"))
+    postings = term_counts(words, "chunk_id", F.col("words"))
+    facts, terms = corpus_facts(sizes, postings)
     v = F.col(vector_text) if isinstance(vector_text, str) else vector_text
     return SearchIndex(chunks, postings, sizes, terms, facts, vectors.hash_sparse(chunks.select("chunk_id", v.alias("_t")), "chunk_id", "_t"))
 
@@ -84,22 +96,42 @@ def bm25(index: SearchIndex, queries: DataFrame, terms: Callable[[str], Column]
     return hits.groupBy("query_id", "chunk_id").agg(F.round(F.sum(each), PLACES).alias("score"))
 
 
-def dense(index: SearchIndex, queries: DataFrame, query_vectors: DataFrame | None = None) -> DataFrame:
+def dense(index: SearchIndex, queries: DataFrame, query_vectors: DataFrame | None = None, dimension: int = vectors.DIMENSION) -> DataFrame:
     """(query_id, chunk_id, score): cosines of every query and chunk, both at unit length.
 
-    While queries are few they travel as one row, so that a chunk's vector is spread once for all of
-    them and copied for none; beyond that each pair is a row of a join.
+    While queries are few (QUERIES, so a bounded matrix) each Arrow batch of chunks meets all of them
+    in one matrix product, and nothing is shuffled; beyond that each pair is a row of a join.
     """
     asked = query_vectors if query_vectors is not None else vectors.hash_sparse(queries, "query_id", "query")
-    if asked.limit(QUERIES + 1).count() > QUERIES:
+    rows = asked.limit(QUERIES + 1).toArrow()
+    if rows.num_rows > QUERIES:
         pairs = index.vectors.crossJoin(asked.withColumnRenamed("vector", "asked"))
         return pairs.select("query_id", "chunk_id", F.round(vectors.sparse_dot("asked", "vector"), PLACES).alias("score"))
-    row = asked.agg(F.collect_list(F.struct("query_id", "vector")).alias("asked"))
-    spread = index.vectors.select("chunk_id", F.map_from_entries("vector").alias("at")).crossJoin(F.broadcast(row))
-    # sums of products: a place that the chunk lacks adds nothing
-    one = lambda q: F.struct(q.query_id.alias("query_id"), F.aggregate(q.vector, F.lit(0.0), lambda acc, x: acc + x.weight * F.coalesce(F.try_element_at("at", x.place), F.lit(0.0))).alias("score"))
-    scored = spread.select("chunk_id", F.explode(F.transform("asked", one)).alias("s"))
-    return scored.select("s.query_id", "chunk_id", F.round("s.score", PLACES).alias("score"))
+    ids = rows.column("query_id").combine_chunks()
+
+    def spread(lists: pa.ListArray) -> np.ndarray:
+        out = np.zeros((len(lists), dimension))
+        entries = lists.flatten()
+        owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        out[owner, entries.field("place").to_numpy(zero_copy_only=False)] = entries.field("weight").to_numpy(zero_copy_only=False)
+        return out
+
+    matrix = spread(rows.column("vector").combine_chunks()).T if len(ids) else np.zeros((dimension, 0))
+    shared = index.vectors.sparkSession.sparkContext.broadcast((ids, matrix))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, matrix = shared.value
+        step = max(1, 1_000_000 // max(1, len(ids)))  # rows of pairs at once
+        for batch in batches:
+            for a in range(0, batch.num_rows, step):
+                part = batch.slice(a, step)
+                scores = spread(part.column(1)) @ matrix
+                owner, asker = np.divmod(np.arange(scores.size), max(1, len(ids)))
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(asker)), part.column(0).take(pa.array(owner)), pa.array(scores.ravel())], names=["query_id", "chunk_id", "score"])
+
+    kinds = (asked.schema["query_id"].dataType.simpleString(), index.vectors.schema["chunk_id"].dataType.simpleString())
+    scored = index.vectors.select("chunk_id", "vector").mapInArrow(run, f"query_id {kinds[0]}, chunk_id {kinds[1]}, score double")
+    return scored.select("query_id", "chunk_id", F.round("score", PLACES).alias("score"))
 
 
 def rescaled(scores: DataFrame, constant: float, missing: DataFrame | None = None) -> DataFrame:

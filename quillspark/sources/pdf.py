@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 _OBJECT = re.compile(rb"(\d+)\s+\d+\s+obj\b(.*?)\bendobj", re.S)
 _STREAM = re.compile(rb"stream\r?\n(.*?)\r?\nendstream", re.S)
-_SHOWN = re.compile(rb"\(((?:\\.|[^\\()])*)\)\s*(?:Tj|'|\")|\[((?:\\.|[^\]])*)\]\s*TJ|(T\*|Td|TD|ET)\b", re.S)
+_SHOWN = re.compile(rb"\(((?:\\.|[^\\()])*)\)\s*(?:Tj|'|\")|\[((?:\\.|[^\]])*)\]\s*TJ|(T\*|Td\b|TD\b|ET\b)", re.S)
 _PART = re.compile(rb"\(((?:\\.|[^\\()])*)\)", re.S)
 _ESCAPE = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"", b"f": b""}
 

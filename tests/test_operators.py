@@ -1,0 +1,221 @@
+"""Retrieval, graph, state, sources, sinks and streams on small inputs."""
+
+import io
+import json
+import urllib.error
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from quillspark import schemas
+from quillspark.operators import community, crawl, evaluation, graph, search, state
+from quillspark.sinks import tables as sinks
+from quillspark.sources import jsonl, pdf, rest, sitemap
+from quillspark.streaming.crawl import StateTable, document_stream, first_seen_stream, fold_stream
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rows = [(1, "a", "tax law for companies"), (2, "a", "sports clubs and sports halls"), (3, "b", "urban planning law"), (4, "c", ""), (5, "c", None)]
+    chunks = spark.createDataFrame(rows, "chunk_id long, document_id string, text string")
+    docs = spark.createDataFrame([("a", "Doc A", None, None, "law", "1", None, "http://a"), ("b", None, "B", None, None, None, None, None), ("c", "", None, None, None, None, None, None)], "id string, title_en string, title_ar string, date string, document_type string, number string, issuer_code string, source_url string")
+    docs = docs.withColumn("cross_references", F.array().cast(f"array<struct<{schemas.REFERENCE.replace(' string', ':string')}>>"))
+    topics = spark.createDataFrame([("a", 0, "T2", "Tax"), ("a", 1, "T1", "")], "document_id string, seq int, name string, canonical_name string")
+    return chunks, docs, topics
+
+
+def test_run_search_reranks_before_it_dedupes(spark, corpus):
+    chunks, docs, topics = corpus
+    queries = spark.createDataFrame([(1, "law"), (2, "?"), (3, "sports sports")], "query_id long, query string")
+    index = search.build_index(chunks)
+    plain = search.run_search(index, docs, topics, queries, top_k=5, top_n=2)
+    assert not plain.rerank_applied() and {r.document_id for r in plain.candidates.where("query_id = 1").collect()} == {"a", "b"}
+    by = search.run_search(index, docs, topics, queries, top_k=5, top_n=2, load=lambda: lambda pairs: [float("planning" in t) for _, t in pairs])
+    assert by.rerank_applied() and [r.document_id for r in by.candidates.where("query_id = 1").orderBy("rank").collect()] == ["b", "a"]
+    broken = search.run_search(index, docs, topics, queries, load=lambda: lambda pairs: 1 / 0)
+    assert not broken.rerank_applied()
+    said = {r.query_id: r.answer for r in plain.answers.collect()}
+    assert "[1] Doc A: sports clubs" in said[3] and set(said) == {1, 2, 3}
+    own = search.run_search(index, docs, topics, queries, complete=lambda q, c: "yes" if "Graph Context" in c else None)
+    assert {r.answer for r in own.answers.where("query_id = 1").collect()} == {"yes"}
+    for bad in ({"top_k": 0}, {"top_n": 9, "top_k": 5}, {"dense_weight": 1.5}):
+        with pytest.raises(ValueError):
+            search.run_search(index, docs, topics, queries, **bad)
+    shown = {r.document_id: r.topics for r in sinks.matches_table(plain.candidates).collect()}
+    assert shown["a"] == "T1, Tax" and shown["b"] == ""
+
+
+def test_rescaling_conventions(spark):
+    scores = spark.createDataFrame([(1, 1, 2.0), (1, 2, 2.0), (2, 1, 1.0), (2, 2, 3.0)], "query_id int, chunk_id int, score double")
+    assert {r.score for r in search.rescaled(scores, 0.0).where("query_id = 1").collect()} == {0.0}
+    assert {r.score for r in search.rescaled(scores, 1.0).where("query_id = 1").collect()} == {1.0}
+    assert {r.score for r in search.rescaled(scores, 0.0).where("query_id = 2").collect()} == {0.0, 1.0}
+
+
+def test_index_tables_can_be_saved(spark, corpus, tmp_path):
+    index = search.build_index(corpus[0])
+    index.save(f"file://{tmp_path}/i")
+    queries = spark.createDataFrame([(1, "sports law")], "query_id long, query string")
+    rows = lambda i: [tuple(r) for r in search.search_hybrid(i, queries, 5).orderBy("rank").collect()]
+    assert rows(index) == rows(search.SearchIndex.load(spark, f"file://{tmp_path}/i"))
+
+
+def test_evaluation(spark, corpus, tmp_path):
+    chunks, docs, topics = corpus
+    labelled = spark.createDataFrame([("q1", "tax companies", ["a", "gone"], "n"), ("q2", "planning", ["b"], ""), ("q3", "mars", [], "")], schemas.EVAL_QUERY)
+    results = evaluation.evaluate(search.build_index(chunks), docs, topics, labelled, top_k=5)
+    summary = {r.stage: r for r in evaluation.summarize(results).collect()}
+    assert set(summary) == set(evaluation.STAGES) and summary["hybrid_graph"].mrr == 1.0 and summary["hybrid_graph"].positive_queries == 2 and summary["hybrid_graph"].precision_at_k == pytest.approx(1 / 3)
+    assert {r.stage: r.queries for r in evaluation.summarize(results.limit(0)).collect()} == dict.fromkeys(evaluation.STAGES, 0)
+    sinks.write_json(evaluation.report(results, 3), f"file://{tmp_path}/r", "report")
+    held = json.loads(spark.read.text(f"file://{tmp_path}/r").first().value)
+    assert held["dataset"] == {"documents": 3, "queries": 3} and len(held["results"]) == 9
+    assert sinks.stages_table(evaluation.summarize(results)).count() == 3
+
+
+def test_graph_loads_are_upserts(spark, tmp_path):
+    ref = f"array<struct<{schemas.REFERENCE.replace(' string', ':string')}>>"
+    docs = spark.createDataFrame([("a", "a", "A", 1), ("b", "b", "B", 2), ("a", "a", None, 3)], "id string, slug string, title_en string, seq long")
+    docs = docs.withColumn("cross_references", F.from_json(F.lit('[{"target_slug":"x","rel_type":"REPEALS"},{"target_slug":"b"},{"target_slug":"q","rel_type":"CITES"},{"target_slug":""}]'), ref))
+    g = graph.Graph(spark, f"file://{tmp_path}/g")
+    g.load_documents(docs)
+    assert {(r.id, r.title_en) for r in g.read("documents").collect()} == {("a", None), ("b", "B"), ("x", None)}
+    assert {(r.src, r.rel_type, r.dst) for r in g.read("references").collect()} == {(s, *e) for s in "ab" for e in (("REPEALS", "x"), ("REFERENCES", "b"))}
+    g.load_chunks(spark.createDataFrame([("c1", "a", "en", "t", 0, 1), ("c2", "zz", "en", "t", 0, 2)], "id string, document_id string, language string, text string, `order` int, seq long"))
+    assert g.read("chunks").count() == 2 and [r.chunk_id for r in g.read("has_chunk").collect()] == ["c1"]
+    topics = spark.createDataFrame([("a", "T", "old", 0.1, "e", None, 1), ("a", "T", "new", 0.2, "f", None, 2), ("zz", "U", "u", 0.3, "g", None, 3)], "document_id string, canonical_name string, name string, confidence double, evidence string, embedding array<double>, seq long")
+    g.load_topics(topics)
+    assert {(r.canonical_name, r.name) for r in g.read("topics").collect()} == {("T", "new"), ("U", "u")} and [(r.document_id, r.confidence) for r in g.read("has_topic").collect()] == [("a", 0.2)]
+    g.load_communities(spark.createDataFrame([("doc:a", 3, "s", 1), ("topic:T", 4, "t", 2), ("other:a", 5, "u", 3), ("doc:none", 6, "v", 4)], "node string, community_id long, community_summary string, seq long"))
+    assert {(r.id, r.community_id) for r in g.read("documents").collect()} == {("a", 3), ("b", None), ("x", None)} and g.read("documents").count() == 3
+    g.load_documents(docs.where("seq = 2").withColumn("title_en", F.lit("B2")))
+    assert {r.id: r.title_en for r in g.read("documents").collect()} == {"a": None, "b": "B2", "x": None}
+    assert graph.unique(g.read("documents"), ("id",)) and graph.vector_dimension(topics.limit(0), spark.createDataFrame([([],), ([1.0, 2.0],)], "embedding array<double>")) == 2
+
+
+def test_communities_find_cliques(spark):
+    clique = lambda names: [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
+    edges = spark.createDataFrame(clique(["doc:%d" % i for i in range(6)]) + clique(["doc:x%d" % i for i in range(5)] + ["topic:T"]) + [("doc:0", "doc:x0")], "a string, b string")
+    found = community.communities(edges)
+    groups = {}
+    for r in found.collect():
+        groups.setdefault(r.community_id, set()).add(r.node)
+    assert sorted(map(len, groups.values())) == [6, 6]
+    docs = spark.createDataFrame([("0", "Zero", None), ("x1", None, "ex")], "id string, title_en string, title_ar string")
+    said = {r.summary for r in community.describe(found, docs).collect()}
+    assert said == {"Community around T.", "Community around documents: Zero."}
+    assert community.communities(edges.limit(0)).count() == 0 and community.label_propagation(edges, 3).count() == 12
+
+
+EVENTS = [
+    (1, "discovered", "s", 9, "u1", 0, "e1", None, None), (2, "status", "s", None, None, None, None, "failed", "x"), (3, "discovered", "s", None, "u2", 1, None, None, None),
+    (4, "status", "ghost", None, None, None, None, "done", None), *[(5 + i, "status", "s", None, None, None, None, "failed", "y") for i in range(5)], (20, "discovered", "t", 1, "u3", 0, None, None, None), (21, "status", "t", None, None, None, None, "done", None),
+]
+
+
+def _events(spark):
+    return spark.createDataFrame([(*e, None) for e in EVENTS], schemas.CRAWL_EVENT)
+
+
+def test_crawl_state(spark, tmp_path):
+    empty = spark.createDataFrame([], schemas.CRAWL_STATE)
+    whole = state.apply_events(empty, _events(spark))
+    got = {r.slug: r for r in whole.collect()}
+    assert set(got) == {"s", "t"} and (got["s"].post_id, got["s"].source_url, got["s"].is_gazette, got["s"].english_url, got["s"].status, got["s"].retries) == (9, "u2", 1, "e1", "failed", 6)
+    assert state.pending(whole).count() == 0 and [r.slug for r in state.pending(whole, 6).collect()] == ["s"]
+    halves = state.apply_events(state.apply_events(empty, _events(spark).where("seq < 4")), _events(spark).where("seq >= 4"))
+    assert sorted(map(str, halves.collect())) == sorted(map(str, whole.collect()))
+    meta = state.set_meta(spark.createDataFrame([("page", "1", None)], schemas.CRAWL_META), spark.createDataFrame([("page", "3", None, 2), ("page", "2", None, 1)], f"{schemas.CRAWL_META}, seq long"))
+    assert state.get_meta(meta, "page") == "3" and state.get_meta(meta, "none", "d") == "d"
+    base = f"file://{tmp_path}"
+    for i, cond in enumerate(("seq < 4", "seq >= 4")):
+        _events(spark).where(cond).coalesce(1).write.mode("append").parquet(f"{base}/events")
+        table = StateTable(spark, f"{base}/state")
+        fold_stream(spark.readStream.schema(_events(spark).schema).parquet(f"{base}/events"), table, f"{base}/checkpoint").awaitTermination()
+    assert sorted(map(str, table.latest().collect())) == sorted(map(str, whole.collect()))
+    table.apply(_events(spark).where("seq >= 4"), 1)  # a batch that is run again changes nothing
+    assert sorted(map(str, table.latest().collect())) == sorted(map(str, whole.collect()))
+
+
+def test_posts_from_pages(spark, tmp_path):
+    for n in (1, 2, 3):
+        posts = [{"id": n * 10 + i, "slug": f"s{n}{i}", "link": "l", "date": "d", "title": {"rendered": "t"}, "content": {"rendered": "<p>c</p>"}, "categories": [1]} for i in range(2)]
+        (tmp_path / f"page-{n}.json").write_text(json.dumps(posts if n < 3 else posts[:1]))
+    assert rest.read_posts(spark, folder=str(tmp_path), readers="2").count() == 5 and rest.read_posts(spark, limit=3, folder=str(tmp_path)).count() == 3
+    assert rest.post_of_slug(rest.read_posts(spark, folder=str(tmp_path)), "s21").id == 21
+    with pytest.raises(LookupError):
+        rest.post_of_slug(rest.read_posts(spark, folder=str(tmp_path)), "none")
+    made = rest.post_of_page(spark.createDataFrame([("u", "<h1>T</h1><article>x</article>")], "url string, html string"), "s").first()
+    assert made.id is None and made.title == "T"
+    stream = first_seen_stream(rest.stream_posts(spark, folder=str(tmp_path)))
+    query = stream.writeStream.format("memory").queryName("posts_seen").trigger(processingTime="0 seconds").start()
+    for _ in range(4):
+        query.processAllAvailable()
+    query.stop()
+    assert spark.table("posts_seen").count() >= 2
+    build = lambda rows: rows.select("slug", F.col("content").alias("content_en"), F.lit("").alias("content_ar"))
+    rest.read_posts(spark, folder=str(tmp_path)).write.parquet(f"file://{tmp_path}/posts")
+    document_stream(spark.readStream.schema(schemas.POST).parquet(f"file://{tmp_path}/posts"), build, f"file://{tmp_path}/out", f"file://{tmp_path}/ck").awaitTermination()
+    assert spark.read.text(f"file://{tmp_path}/out/markdown/batch=0").count() == 5
+
+
+def test_fetching_waits_and_gives_up():
+    waits, calls = [], []
+
+    class Reply(io.BytesIO):
+        status, headers = 200, {"X-WP-TotalPages": "1"}
+
+    def opener(request, timeout):
+        calls.append(request)
+        if len(calls) < 3:
+            raise urllib.error.HTTPError("u", 503, "busy", {"Retry-After": "90"}, None)
+        return Reply(b'[{"id": 1, "slug": "s"}]')
+
+    get = lambda url, timeout=1.0: rest.http_get(url, timeout, (0, 0), opener, waits.append)
+    rows, more = rest.fetch_page({"url": "http://x"}, 1, get)
+    assert rows[0][:2] == (1, "s") and not more and waits.count(60.0) == 2
+    assert rest.probe("http://x", get=get)[0] is True
+    assert rest.probe("http://x", get=lambda *a: (_ for _ in ()).throw(OSError("down")))[0] is False
+
+
+def test_sitemaps_and_pdfs(spark, tmp_path):
+    loc = lambda *us: "<urlset>" + "".join(f"<url><loc> {u} </loc></url>" for u in us) + "</urlset>"
+    index = spark.createDataFrame([("i", loc("m/wp-sitemap-posts-post-1.xml", "m/other.xml"))], "url string, xml string")
+    maps = spark.createDataFrame([("m/wp-sitemap-posts-post-1.xml", loc("p1", "p2?a=1&amp;b=2")), ("m/other.xml", loc("no"))], "url string, xml string")
+    assert [r.url for r in sitemap.sitemap_urls(index, maps).orderBy("pos").collect()] == ["p1", "p2?a=1&b=2"] and sitemap.sitemap_urls(index, maps, 1).count() == 1
+    stream = zlib.compress(b"BT (Hello \\(world\\)) Tj T* [(a) -20 (b)] TJ ET")
+    raw = b"1 0 obj << /Type /Page /Contents 2 0 R >> endobj 2 0 obj << /Filter /FlateDecode >> stream\n" + stream + b"\nendstream endobj 3 0 obj << /Type /Page >> endobj"
+    (tmp_path / "a.pdf").write_bytes(raw)
+    (tmp_path / "b.pdf").write_bytes(b"junk")
+    got = {r.url[-5:]: r.text for r in pdf.read_pdfs(spark, str(tmp_path)).collect()}
+    assert got["a.pdf"] == "## Page 1\n\nHello (world)\nab" and got["b.pdf"] == ""
+
+
+def test_json_lines(spark, tmp_path):
+    path = f"file://{tmp_path}/x.jsonl"
+    assert jsonl.read_jsonl(spark, path, "a int").count() == 0
+    (tmp_path / "x.jsonl").write_text('{"a": 1}\n\n{"a": 2}\n')
+    assert jsonl.read_jsonl(spark, path, "a int").count() == 2
+    (tmp_path / "y.jsonl").write_text('{"a": 1}\n{bad\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        jsonl.read_jsonl(spark, f"file://{tmp_path}/y.jsonl", "a int").collect()
+    assert jsonl.first_filled(spark, (f"file://{tmp_path}/none", path), "a int").count() == 2
+    sinks.append_jsonl(jsonl.read_jsonl(spark, path, "a int"), f"file://{tmp_path}/out")
+    sinks.append_jsonl(jsonl.read_jsonl(spark, path, "a int"), f"file://{tmp_path}/out")
+    assert jsonl.read_jsonl(spark, f"file://{tmp_path}/out", "a int").count() == 4
+    (tmp_path / "q.json").write_text('[{"id": "q", "query": "x", "expected_document_ids": ["a"]}]')
+    assert jsonl.read_queries(spark, f"file://{tmp_path}/q.json").first().expected_document_ids == ["a"]
+    held = jsonl.read_embedding_metadata(spark, f"file://{tmp_path}/none")
+    assert held["dimension"] == 384
+    with pytest.raises(ValueError):
+        jsonl.check_provenance({"backend": "model", "dimension": 384}, "deterministic_hash", 384)
+    with pytest.raises(ValueError):
+        jsonl.data_folder(spark, "other", "a", "b")
+
+
+def test_queues_keep_the_first(spark):
+    rows = lambda *r: spark.createDataFrame(r, "slug string, seq long, link string")
+    got = crawl.merge_queues(rows(("a", 5, "old")), rows(("a", 1, "new"), ("b", 2, "x"), ("b", 3, "y")))
+    assert {(r.slug, r.link) for r in got.collect()} == {("a", "old"), ("b", "x")}
+    assert crawl.merge_queues(rows(("a", 5, "old")), rows(("b", 2, "x")), 1).first().slug == "a"
