@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a numpy step works on at once; a single longer text is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 #: What Spark puts into one Arrow batch for a Python worker, at most: rows and bytes. It bounds a worker's memory.

@@ -38,7 +38,7 @@ def grams(data: np.ndarray, offsets: np.ndarray, width: int, sizes: tuple[int, .
 
 
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(size).bit_length())
+    size = ((size >> 18) + 1) << 18
     if size not in _POWERS:
         _POWERS.clear()
         with np.errstate(over="ignore"):

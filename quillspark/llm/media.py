@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quillspark.llm import flac
 from quillspark.llm.common import steps, table, utf8
 
+STEP = 2 << 20  # bytes of texts whose frames go through the codec together
 UNIT = 64  # payloads are filled with bytes 0 up to a positive multiple of this
 
 
@@ -36,7 +37,7 @@ def encode_flac(df: DataFrame, column: str = "text", keys: tuple[str, ...] = ("d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(len(keys)))
-            for a, b in steps(offsets):
+            for a, b in steps(offsets, STEP):
                 raw, ends = payloads(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 media, at = flac.encode((raw ^ 0x80).view(np.int8), ends)
                 whole = media.tobytes()
@@ -62,7 +63,7 @@ def decode_flac(media: DataFrame, key: str = "doc_id") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            for a, b in steps(offsets):
+            for a, b in steps(offsets, STEP):
                 pcm, ends, blocks = flac.decode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 raw = pcm.tobytes()
                 rows = [(i, j, int(s), int(n)) for i, t in enumerate(blocks) for j, (s, n) in enumerate(t)]
@@ -92,7 +93,7 @@ def media_digests(media: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(2))
-            for a, b in steps(offsets):
+            for a, b in steps(offsets, STEP):
                 part = data[offsets[a] : offsets[b]]
                 at = offsets[a : b + 1] - offsets[a]
                 pcm, ends, blocks = flac.decode(part, at)
