@@ -92,17 +92,25 @@ def hash_embedding_nonzero(spark, sf_dir):
     return vectors.hash_nonzeros(tables.table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-def _written(spark, index: search.SearchIndex) -> search.SearchIndex:
-    """The index as tables in the shared folder: the corpus is tokenised once, whatever a query reads of it."""
+_INDEXES: dict[tuple[str, str, str], str] = {}
+
+
+def _written(spark, sf_dir: str, kind: str, build: Callable[[], search.SearchIndex]) -> search.SearchIndex:
+    """The index as tables in the shared folder: a session tokenises a corpus once, whatever its queries read of it."""
     import uuid
 
-    path = _shared(spark) + f"/index-{uuid.uuid4().hex}"
-    index.save(path)
-    return search.SearchIndex.load(spark, path)
+    from quillspark.sources.jsonl import exists
+
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _INDEXES or not exists(spark, _INDEXES[key]):
+        path = _shared(spark) + f"/index-{uuid.uuid4().hex}"
+        build().save(path)
+        _INDEXES[key] = path
+    return search.SearchIndex.load(spark, _INDEXES[key])
 
 
 def _index(spark, sf_dir):
-    return _written(spark, search.build_index(tables.chunks(spark, sf_dir)))
+    return _written(spark, sf_dir, "sources", lambda: search.build_index(tables.chunks(spark, sf_dir)))
 
 
 @_query(f"WITH {sql.bm25('bm', tables.CHUNKS)} {sql.top('bm', 10)}")
@@ -144,7 +152,7 @@ _WINDOWS = f"""wins AS (SELECT doc_id * 10000 + nth AS chunk_id, doc_id AS docum
 
 def _window_index(spark, sf_dir):
     rows = chunking.token_windows(tables.table(spark, sf_dir, "documents"), "doc_id", "text", 100, 20)
-    return _written(spark, search.build_index(rows.select((F.col("doc_id") * 10000 + F.col("order")).alias("chunk_id"), F.col("doc_id").alias("document_id"), "text")))
+    return _written(spark, sf_dir, "windows", lambda: search.build_index(rows.select((F.col("doc_id") * 10000 + F.col("order")).alias("chunk_id"), F.col("doc_id").alias("document_id"), "text")))
 
 
 _FULLTEXT = f"""{_WINDOWS}, {sql.bm25('own', 'wins', asked=sql.strong('text'))}, {sql.bm25('doc', tables.CHUNKS, asked=sql.strong('text'))},
@@ -297,7 +305,7 @@ def hydrate_context(spark, sf_dir):
     said AS (SELECT query_id, string_agg('[' || r || '] ' || coalesce({_TITLE}, d.id) || ': ' || left(trim(regexp_replace(text, '[\\s\\p{{Z}}\\x{{85}}\\x{{0B}}]+', ' ', 'g')), 350), chr(10) ORDER BY r) AS a FROM best JOIN {_DOC_CHUNKS} c USING (chunk_id) JOIN {tables.DOCUMENTS} d ON d.id = c.document_id WHERE r <= 5 GROUP BY 1)
     SELECT item_id AS query_id, coalesce('LLM synthesis is disabled, so here is an extractive answer from the top retrieved contexts:' || chr(10) || a, 'No matching context was found.') AS answer FROM benchmark LEFT JOIN said ON query_id = item_id""")
 def extractive_answer(spark, sf_dir):
-    found = search.run_search(_written(spark, search.build_index(_doc_chunks(spark, sf_dir))), tables.documents(spark, sf_dir), tables.topics(spark, sf_dir), tables.queries(spark, sf_dir))
+    found = search.run_search(_written(spark, sf_dir, "documents", lambda: search.build_index(_doc_chunks(spark, sf_dir))), tables.documents(spark, sf_dir), tables.topics(spark, sf_dir), tables.queries(spark, sf_dir))
     return found.answers
 
 
@@ -324,7 +332,7 @@ _METRICS = f"""{_HYBRID}, {_LABELLED}, r AS ({sql.top('(SELECT query_id, chunk_i
 
 
 def _results(spark, sf_dir):
-    index = _written(spark, search.build_index(_doc_chunks(spark, sf_dir)))
+    index = _written(spark, sf_dir, "documents", lambda: search.build_index(_doc_chunks(spark, sf_dir)))
     return evaluation.evaluate(index, tables.documents(spark, sf_dir), tables.topics(spark, sf_dir), _labelled(spark, sf_dir))
 
 
