@@ -2,26 +2,28 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import truthy
 
-LEVELS, SWEEPS = 4, 8
+LEVELS, SWEEPS = 2, 5
 
 
 def _stored(df: DataFrame) -> DataFrame:
-    """Cuts lineage by the session's checkpoint folder."""
+    """df as a table in the shared folder of spark.checkpoint.dir (unset, as in tests: a folder of this machine), which cuts lineage."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if spark.sparkContext.getCheckpointDir() is None:
-        if not folder:
-            import tempfile
-
-            folder = "file://" + tempfile.mkdtemp(prefix="quillspark-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(True)
+    if not folder:
+        folder = "file://" + tempfile.mkdtemp(prefix="quillspark-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder.rstrip('/')}/community-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def modularity(edges: DataFrame, labels: DataFrame) -> float:
