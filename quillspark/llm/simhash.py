@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import steps, stored, table, utf8
 from quillspark.llm.components import components
+from quillspark.llm.shingle_sets import SIMILARITY, WORDS, similar
 
 SHINGLE = 3
 SEED = 42
@@ -110,13 +111,15 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     return signed.join(every, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component stays: that whose doc_id is the smallest. Columns are those of docs.
+def drop_near_duplicates(docs: DataFrame, size: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """One document of each group of near-duplicates stays: that whose doc_id is the smallest. Columns are those of docs.
 
+    Near-duplicates are texts whose sets of shingles of so many words have this Jaccard similarity or
+    more, and chains of such (shingle_sets.similar); the fingerprints and RADIUS of op2 are not used.
     Of rows that repeat such an id within the component one stays. Rows without a doc_id can't be
     named as the survivor and stay.
     """
-    near = stored(near_duplicates(docs), "components")
+    near = stored(similar(docs, size, similarity), "components")
     keep = near.where("doc_id = component_id").select("doc_id").distinct()
     return docs.where("doc_id IS NOT NULL").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).union(docs.where("doc_id IS NULL"))
 

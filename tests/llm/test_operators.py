@@ -63,6 +63,30 @@ def test_simhash(odd, full, none):
     assert rows(near_duplicates(none)) == [] and rows(drop_near_duplicates(none)) == []
 
 
+def test_near_duplicates_of_five_word_shingles(spark):
+    """Groups are those of all pairs of five-word Jaccard 0.8 or more, by brute force."""
+    from quillspark.llm.shingle_sets import similar
+
+    rng = np.random.default_rng(3)
+    word = lambda: "w" + str(rng.integers(0, 5000))
+    texts = []
+    for _ in range(12):
+        base = [word() for _ in range(150)]
+        for edits in (0, 1, 2, 3, 4, 6, 8, 12):
+            copy = list(base)
+            for i in rng.choice(150, edits, replace=False):
+                copy[i] = word()
+            texts.append(" ".join(copy))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    got = {r.doc_id: r.component_id for r in similar(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == root and len(set(root)) < len(texts)
+
+
 def test_links_against_all_pairs(spark):
     from quillspark.llm.components import components
     from quillspark.llm.simhash import links
