@@ -185,16 +185,24 @@ def vector_hits(index: SearchIndex, queries: DataFrame, k: int) -> DataFrame:
     return top_k(dense(index, queries), k)
 
 
-def approximate_hits(vectors_table: DataFrame, queries: DataFrame, k: int, buckets: float = 0.5, tables: int = 8, reach: float = 1.2) -> DataFrame:
-    """Near neighbours of (query_id, embedding) among (chunk_id, embedding) by random projections; distances are verified."""
+def approximate_hits(vectors_table: DataFrame, queries: DataFrame, k: int, buckets: float = 0.5, tables: int = 8) -> DataFrame:
+    """The k nearest of (chunk_id, embedding) that share a bucket with each of (query_id, embedding) by random projections; distances are verified.
+
+    No distance is too far, and a query with fewer than k such neighbours is compared with all vectors.
+    """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
 
     side = lambda df, key: df.select(key, array_to_vector(vectors.normalize("embedding")).alias("v"))
     model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=buckets, numHashTables=tables, seed=42).fit(side(vectors_table, "chunk_id"))
-    pairs = model.approxSimilarityJoin(side(queries, "query_id"), side(vectors_table, "chunk_id"), reach, "d")
-    scores = pairs.select("datasetA.query_id", "datasetB.chunk_id", F.round(1 - F.col("d") * F.col("d") / 2, PLACES).alias("score"))
-    return top_k(scores, k)
+    # unit vectors are at most 2 apart, and the join asks for less than its threshold
+    pairs = model.approxSimilarityJoin(side(queries, "query_id"), side(vectors_table, "chunk_id"), 2.001, "d")
+    near = top_k(pairs.select("datasetA.query_id", "datasetB.chunk_id", F.round(1 - F.col("d") * F.col("d") / 2, PLACES).alias("score")), k)
+    full = near.groupBy("query_id").count().where(F.col("count") >= k).select("query_id")
+    short = queries.join(full, "query_id", "left_anti").select("query_id", F.col("embedding").alias("asked"))
+    every = vectors_table.select("chunk_id", "embedding").crossJoin(short)
+    exact = top_k(every.select("query_id", "chunk_id", F.round(vectors.cosine("asked", "embedding"), PLACES).alias("score")), k)
+    return near.join(full, "query_id", "left_semi").select("query_id", "chunk_id", "score", "rank").union(exact.select("query_id", "chunk_id", "score", "rank"))
 
 
 def fulltext_hits(chunk_index: SearchIndex, document_index: SearchIndex, queries: DataFrame, k: int) -> DataFrame:

@@ -94,6 +94,20 @@ def test_graph_loads_are_upserts(spark, tmp_path):
     assert graph.unique(g.read("documents"), ("id",)) and graph.vector_dimension(topics.limit(0), spark.createDataFrame([([],), ([1.0, 2.0],)], "embedding array<double>")) == 2
 
 
+def test_approximate_neighbours(spark):
+    from quillspark.plans import catalog
+
+    sf = "/root/testdata/sf0.01"
+    want = {(r.query_id, r.chunk_id) for r in catalog.QUERIES["vector_topk"](spark, sf).collect()}
+    got = {(r.query_id, r.chunk_id) for r in catalog.QUERIES["vector_topk_approximate"](spark, sf).collect()}
+    print("recall", len(want & got) / len(want))
+    assert len(got) == len(want) and len(want & got) >= 0.9 * len(want)
+    # buckets so narrow that nothing is in the query's own
+    far = spark.createDataFrame([(i, [1.0, i / 10]) for i in range(1, 6)], "chunk_id long, embedding array<double>")
+    rows = search.approximate_hits(far, spark.createDataFrame([(0, [0.0, -1.0])], "query_id long, embedding array<double>"), 3, buckets=1e-6).collect()
+    assert [r.chunk_id for r in sorted(rows, key=lambda r: r.rank)] == [1, 2, 3]
+
+
 def test_communities_find_cliques(spark):
     clique = lambda names: [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
     edges = spark.createDataFrame(clique(["doc:%d" % i for i in range(6)]) + clique(["doc:x%d" % i for i in range(5)] + ["topic:T"]) + [("doc:0", "doc:x0")], "a string, b string")
