@@ -1,4 +1,9 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index."""
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+
+Every word of the examples is a term. A term's weight is its inverse document frequency times FLOOR
+plus the share of the label's variance that its presence explains, so words that go with the label
+count for more, and no word is left out.
+"""
 
 from __future__ import annotations
 
@@ -8,85 +13,121 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from quillspark.llm.common import draw, fold, steps, table, utf8
+from quillspark.llm.common import draw, fold, ranges, steps, table, utf8
 from quillspark.llm.features import words
 
 EXAMPLES = 2000  # labelled rows of each class, at most
 NEIGHBOURS = 25
 BLOCK = 64  # examples under one maximum
-CHI2 = 30.0  # association with the label from which a term is in the vocabulary
-SUPPORT = 0.01  # share of the smaller class's examples that a term is in, at least: copies of one text don't make a term
-TERMS = 4096
+LONG = 512  # postings lists, the longest, that are kept by block; shorter ones are read whole
+FIRST = 3  # blocks that are read before bounds are compared
+FLOOR = 0.01
+ROWS = 256
 THRESHOLD = 0.3
 
 
 class BlockMaxIndex:
-    """Postings of unit vectors by term, with each term's greatest weight in each block of examples."""
+    """Postings of unit vectors by term.
+
+    The LONG longest lists are dense, in blocks of examples, with each list's greatest weight in each
+    block; the others are sparse. Examples stand in order of their heaviest terms, so that those of a
+    block are alike and its maxima tell something.
+    """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int) -> None:
         self.size = len(vectors)
         self.blocks = -(-self.size // BLOCK) or 1
-        sizes = [len(t) for t, _ in vectors]
+        heaviest = [(-1, 0.0) if not len(t) else (int(t[w.argmax()]), -float(w.max())) for t, w in vectors]
+        self.example = np.array(sorted(range(self.size), key=lambda i: (heaviest[i], i)), np.int64)
+        place = np.argsort(self.example)
         term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)]).astype(np.int64)
         weight = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
-        example = np.repeat(np.arange(self.size), sizes)
-        order = np.lexsort((example, term))
-        self.term, self.example, self.weight = term[order], example[order], weight[order]
-        key = self.term * self.blocks + self.example // BLOCK
-        self.at = np.searchsorted(key, np.arange(terms * self.blocks + 1))
-        self.most = np.zeros((terms, self.blocks))
-        np.maximum.at(self.most, (self.term, self.example // BLOCK), self.weight)
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of the greatest cosine above 0, exactly (ties: the first example), and their cosines.
-
-        Blocks are visited by falling bound, until a bound is below the k-th best cosine.
+        at = np.repeat(place, [len(t) for t, _ in vectors])
+        count = np.bincount(term, minlength=terms)
+        longest = np.argsort(-count, kind="stable")[:LONG]
+        self.row = np.full(terms, -1, np.int64)
+        self.row[longest] = np.arange(len(longest))
+        dense = self.row[term] >= 0
+        self.long = np.zeros((len(longest), self.blocks * BLOCK))
+        self.long[self.row[term[dense]], at[dense]] = weight[dense]
+        self.most = self.long.reshape(len(longest), self.blocks, BLOCK).max(2)
+        term, at, weight = term[~dense], at[~dense], weight[~dense]
+        order = np.lexsort((at, term))
+        self.at, self.weight = at[order].astype(np.int32), weight[order]
+        self.begin = np.searchsorted(term[order], np.arange(terms + 1))
+
+    def nearest(self, own: np.ndarray, terms: np.ndarray, weights: np.ndarray, rows: int, k: int, without: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each of so many rows the k examples of the greatest cosine above 0, exactly (ties: the first example), and their cosines.
+
+        own is the row of each term. A block's long lists are read for the rows whose bound in it is
+        not below their k-th best cosine so far; without names an example to leave out for each row.
         """
-        bound = weights @ self.most[terms] if len(terms) else np.zeros(self.blocks)
-        ids, cosines = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(ids) == k and bound[b] < cosines[-1] - 1e-12):
+        wide = self.blocks * BLOCK
+        row = self.row[terms]
+        asked = np.zeros((rows, len(self.most)))
+        asked[own[row >= 0], row[row >= 0]] = weights[row >= 0]
+        short = row < 0
+        begin = self.begin[terms[short]]
+        size = self.begin[terms[short] + 1] - begin
+        hit = np.repeat(begin, size) + ranges(size)
+        got = np.bincount(np.repeat(own[short], size) * wide + self.at[hit], np.repeat(weights[short], size) * self.weight[hit], rows * wide).reshape(rows, wide)
+        if without is not None:
+            mine = np.argsort(self.example)[without]
+        bound = asked @ self.most + got.reshape(rows, self.blocks, BLOCK).max(2)
+        read = np.zeros((rows, self.blocks), bool)
+        todo = np.zeros((rows, self.blocks), bool)
+        np.put_along_axis(todo, np.argpartition(-bound, min(FIRST, self.blocks) - 1, axis=1)[:, :FIRST], True, axis=1)
+        for _ in range(2):
+            for b in np.flatnonzero(todo.any(0)):
+                some = np.flatnonzero(todo[:, b])
+                got[some, b * BLOCK : (b + 1) * BLOCK] += asked[some] @ self.long[:, b * BLOCK : (b + 1) * BLOCK]
+            read |= todo
+            seen = np.where(np.repeat(read, BLOCK, axis=1), got, 0.0)
+            if without is not None:
+                seen[np.arange(rows), mine] = 0.0
+            kth = -np.partition(-seen, min(k, wide) - 1, axis=1)[:, min(k, wide) - 1]
+            todo = ~read & (bound > 0) & (bound >= kth[:, None] - 1e-12)
+            if not todo.any():
                 break
-            got = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                lo, hi = self.at[t * self.blocks + b], self.at[t * self.blocks + b + 1]
-                got[self.example[lo:hi] - b * BLOCK] += w * self.weight[lo:hi]
-            own = np.flatnonzero(got > 0)
-            own = own[own + b * BLOCK != without]
-            ids, cosines = np.concatenate([ids, own + b * BLOCK]), np.round(np.concatenate([cosines, got[own]]), 12)
-            best = np.lexsort((ids, -cosines))[:k]
-            ids, cosines = ids[best], cosines[best]
-        return ids, cosines
+        out = []
+        for i in range(rows):
+            best = np.flatnonzero((seen[i] > 0) & (seen[i] >= kth[i] - 1e-12))
+            cosines, ids = np.round(seen[i, best], 12), self.example[best]
+            order = np.lexsort((ids, -cosines))[:k]
+            out.append((ids[order], cosines[order]))
+        return out
 
 
 class Scorer:
-    """What fit() learns, and how a vector is scored. It is small: bounded by EXAMPLES and TERMS."""
+    """What fit() learns, and how a vector is scored: bounded by EXAMPLES texts and their words."""
 
     def __init__(self, vocabulary, idf, index, labels, ids, class_weight, base) -> None:
         self.vocabulary, self.idf, self.index, self.labels, self.ids, self.class_weight, self.base = vocabulary, idf, index, labels, ids, class_weight, base
         self.slope, self.offset = 1.0, 0.0
-        self.memo: dict[bytes, tuple[float, list[int]]] = {}
 
-    def vote(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, list[int]]:
-        """Log odds of label 1 by distance-weighted votes, and the voters' ids, the nearest first."""
-        ids, cosines = self.index.nearest(terms, weights, NEIGHBOURS, without)
+    def odds(self, ids: np.ndarray, cosines: np.ndarray) -> float:
+        """Log odds of label 1 by distance-weighted votes."""
         y = self.labels[ids]
         pull = self.class_weight[y] / (1.05 - np.minimum(cosines, 1))
         one, zero = pull[y == 1].sum(), pull[y == 0].sum()
-        return float(np.log((one + self.base) / (zero + 1 - self.base))), [self.ids[i] for i in ids[:5]]
+        return float(np.log((one + self.base) / (zero + 1 - self.base)))
 
-    def score(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, list[int]]:
-        if not len(terms):
-            return self.base, []
-        key = terms.tobytes() + weights.tobytes()
-        got = self.memo.get(key)
-        if got is None:
-            odds, ids = self.vote(terms, weights)
-            if len(self.memo) > 50_000:
-                self.memo.clear()
-            got = self.memo[key] = (float(1 / (1 + np.exp(-(self.slope * odds + self.offset)))), ids)
-        return got
+    def others(self, vectors: list, some: np.ndarray) -> np.ndarray:
+        """What these examples get from the others."""
+        own = np.repeat(np.arange(len(some)), [len(vectors[i][0]) for i in some])
+        terms, weights = (np.concatenate([vectors[i][part] for i in some]) for part in (0, 1))
+        return np.array([self.odds(*x) for x in self.index.nearest(own, terms, weights, len(some), NEIGHBOURS, some)])
+
+    def score(self, own: np.ndarray, terms: np.ndarray, weights: np.ndarray, rows: int) -> tuple[np.ndarray, list[list[int]]]:
+        """Scores, and the five nearest voters' ids, of so many rows; a row without a term gets the base rate."""
+        scores, evidence = np.full(rows, self.base), []
+        for i, (ids, cosines) in enumerate(self.index.nearest(own, terms, weights, rows, NEIGHBOURS)):
+            if len(ids):
+                scores[i] = 1 / (1 + np.exp(-(self.slope * self.odds(ids, cosines) + self.offset)))
+            evidence.append([self.ids[j] for j in ids[:5]])
+        return scores, evidence
 
 
 def _vectors(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray, idf: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,9 +155,12 @@ def _examples(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame) -> Scorer | None:
     """Vocabulary, weights and index; None where there are no usable labels of both classes.
 
-    Terms are those whose presence in the examples goes with the label (chi-squared CHI2 or more, in SUPPORT of a class or more).
     Document frequencies are counted over all documents, and class weights over all usable labels.
+    Null labels and ids, labels other than 0 and 1, and labels of no document are left out; a
+    document that is labelled both ways is an example of each. doc_id must be of an integer type.
     """
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        raise TypeError("toxicity: doc_id must be of an integer type")
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,22 +178,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer | None:
 
     usable = labels.where((fold() != 2) & F.col("toxic").isin(0, 1))
     there = {int(r["toxic"]): int(r["count"]) for r in usable.groupBy("toxic").count().collect()}
-    rows = _examples(docs, labels).select("doc_id", "toxic", "text").mapInArrow(bags, "doc_id bigint, toxic int, words array<bigint>, counts array<int>").toArrow().sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
+    rows = _examples(docs, labels).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(bags, "doc_id bigint, toxic int, words array<bigint>, counts array<int>").toArrow().sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
     y = rows["toxic"].to_numpy().astype(np.int64)
     if len(set(y.tolist())) < 2:
         return None
     each = [np.array(x, np.int64).view(np.uint64) for x in rows["words"].to_pylist()]
     counts = [np.array(x, float) for x in rows["counts"].to_pylist()]
     owner = np.repeat(np.arange(len(y)), [len(x) for x in each])
-    terms, inverse = np.unique(np.concatenate(each), return_inverse=True)
+    vocabulary, inverse = np.unique(np.concatenate(each), return_inverse=True)
     n1, n0 = int(y.sum()), int(len(y) - y.sum())
-    a = np.bincount(inverse, y[owner] == 1, len(terms))
-    b = np.bincount(inverse, y[owner] == 0, len(terms))
+    a = np.bincount(inverse, y[owner] == 1, len(vocabulary))
+    b = np.bincount(inverse, y[owner] == 0, len(vocabulary))
     total = n1 + n0
-    chi = total * (a * (n0 - b) - b * (n1 - a)) ** 2 / np.maximum(1e-9, (a + b) * (total - a - b) * n1 * n0)
-    picked = np.flatnonzero((chi >= CHI2) & (a + b >= max(3, SUPPORT * min(n0, n1))))
-    picked = picked[np.argsort(-chi[picked], kind="stable")][:TERMS]
-    vocabulary = np.sort(terms[picked])
+    explained = (a * (n0 - b) - b * (n1 - a)) ** 2 / np.maximum(1e-9, (a + b) * (total - a - b) * n1 * n0)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, seen = np.zeros(len(vocabulary), np.int64), 0
@@ -158,19 +199,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer | None:
             seen += len(offsets) - 1
             for a, b in steps(offsets):
                 _, term, _ = _vectors(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], vocabulary, None)
-                df += np.bincount(term, minlength=len(df)) if len(df) else 0
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(df))), pa.array(np.concatenate([[seen], df]))], names=["term", "df"])
-
-    found = {r["term"]: r["n"] for r in docs.select("text").mapInArrow(frequencies, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("n")).collect()}
-    every = found.get(-1, 0)
-    idf = np.log((1 + every) / (1 + np.array([found.get(i, 0) for i in range(len(vocabulary))], float))) + 1
+                df += np.bincount(term, minlength=len(df))
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(df[some], seen))], names=["term", "df"])
+
+    # a row a term of the examples at most
+    found = docs.select("text").mapInArrow(frequencies, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("n")).toArrow()
+    n = np.zeros(len(vocabulary) + 1)
+    n[found["term"].to_numpy()] = found["n"].to_numpy()
+    idf = (np.log((1 + n[-1]) / (1 + n[:-1])) + 1) * (FLOOR + explained)
     vectors = []
     for hashes, n in zip(each, counts, strict=True):
-        at = np.minimum(np.searchsorted(vocabulary, hashes), max(0, len(vocabulary) - 1))
-        hit = vocabulary[at] == hashes if len(vocabulary) else np.zeros(len(hashes), bool)
-        w = (1 + np.log(n[hit])) * idf[at[hit]]
-        order = np.argsort(at[hit])
-        vectors.append((at[hit][order], (w / (np.sqrt((w * w).sum()) or 1))[order]))
+        at = np.searchsorted(vocabulary, hashes)
+        w = (1 + np.log(n)) * idf[at]
+        order = np.argsort(at)
+        vectors.append((at[order], (w / (np.sqrt((w * w).sum()) or 1))[order]))
     weight = np.array([there[0] / n0, there[1] / n1])
     bare = np.array([not len(t) for t, _ in vectors])
     base = float((weight[1] * (bare & (y == 1)).sum() + there[1] / (there[0] + there[1])) / (weight[y[bare]].sum() + 1))
@@ -178,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer | None:
     # calibration: a logistic curve over what each example gets from the others
     some = np.flatnonzero(~bare)
     if len(some):
-        odds = np.array([out.vote(*vectors[i], without=i)[0] for i in some])
+        odds = np.concatenate([np.zeros(0), *(out.others(vectors, some[a : a + ROWS]) for a in range(0, len(some), ROWS))])
         sample = weight[y[some]]
         target = np.where(y[some] == 1, 1 - 1e-3, 1e-3)
         p = np.array([1.0, 0.0])
@@ -195,23 +238,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer | None:
 def score_toxicity(docs: DataFrame, model: Scorer | None) -> DataFrame:
     """doc_id, score (0 to 1, higher: label 1 likelier), predicted, evidence (ids of the nearest voters) for each row of (doc_id, text).
 
-    Texts without a vocabulary term, empty and null ones among them, get the share of label 1 among
-    such examples and no evidence. Without a model (no labels of both classes) scores are 0. Repeated
-    rows repeat; an empty table gives an empty table; other columns are not read.
+    Texts without a word of the examples, empty and null ones among them, get the base rate and no
+    evidence. Without a model (no labels of both classes) scores are 0. Repeated rows repeat; an
+    empty table gives an empty table; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by EXAMPLES and TERMS
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by EXAMPLES texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            for a, b in steps(offsets):
-                scores, evidence = np.full(b - a, m.base if m else 0.0), [[] for _ in range(b - a)]
+            for a, b in steps(offsets, rows=ROWS):
+                scores, evidence = np.zeros(b - a), [[] for _ in range(b - a)]
                 if m:
-                    own, term, w = _vectors(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], m.vocabulary, m.idf)
-                    cuts = np.flatnonzero(np.diff(own, prepend=-1, append=b - a))
-                    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                        scores[own[lo]], evidence[own[lo]] = m.score(term[lo:hi], w[lo:hi])
+                    scores, evidence = m.score(*_vectors(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], m.vocabulary, m.idf), b - a)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32)), pa.array(evidence, pa.list_(pa.int64()))], names=["doc_id", "score", "predicted", "evidence"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

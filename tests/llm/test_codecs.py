@@ -155,21 +155,27 @@ def test_chunk_encoder_equals_the_library():
         assert own.encode([text.encode()])[0] == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 
-def test_block_max_index_is_exact():
-    from quillspark.llm.toxicity import BlockMaxIndex
+def test_block_max_index_is_exact(monkeypatch):
+    """Against all cosines, with lists of both kinds, ties, empty rows, and an example left out."""
+    from quillspark.llm import toxicity
 
+    monkeypatch.setattr(toxicity, "LONG", 12)
     rng = np.random.default_rng(3)
     rows = []
-    for _ in range(300):
-        terms = np.sort(rng.choice(40, rng.integers(0, 6), replace=False))
-        w = rng.random(len(terms)) + 0.1
+    for i in range(300):
+        terms = np.sort(rng.choice(40, rng.integers(0, 6), replace=False)) if i % 9 else np.array([1, 5])
+        w = rng.random(len(terms)) + 0.1 if i % 9 else np.ones(2)
         rows.append((terms, w / (np.sqrt((w * w).sum()) or 1)))
-    index = BlockMaxIndex(rows, 40)
+    index = toxicity.BlockMaxIndex(rows, 40)
     dense = np.zeros((300, 40))
     for i, (t, w) in enumerate(rows):
         dense[i, t] = w
-    for t, w in rows[:60]:
-        ids, cosines = index.nearest(t, w, 7)
-        every = np.round(dense[:, t] @ w if len(t) else np.zeros(300), 12)
-        best = [i for i in np.lexsort((np.arange(300), -every)) if every[i] > 0][:7]
-        assert ids.tolist() == best and np.allclose(cosines, every[best])
+    own = np.repeat(np.arange(300), [len(t) for t, _ in rows])
+    terms, weights = np.concatenate([t for t, _ in rows]), np.concatenate([w for _, w in rows])
+    for without in (None, np.arange(300)):
+        for i, (ids, cosines) in enumerate(index.nearest(own, terms, weights, 300, 7, without)):
+            every = np.round(dense @ dense[i], 12)
+            if without is not None:
+                every[i] = 0
+            best = [j for j in np.lexsort((np.arange(300), -every)) if every[j] > 0][:7]
+            assert ids.tolist() == best and np.allclose(cosines, every[best])

@@ -237,6 +237,14 @@ def test_toxicity(spark, odd, none):
     clean = [scored[r.doc_id].predicted for r in held if r.toxic == 0]
     toxic = [scored[r.doc_id].predicted for r in held if r.toxic == 1]
     assert np.mean(clean) < 0.05 and np.mean(toxic) > 0.5
+    # every word of the examples is a term, so texts with words have voters, and a copy of a labelled text has it first
+    assert all(r.evidence for r in scored.values() if r.score != model.base)
+    example = docs.where(F.col("doc_id") == model.ids[0]).select(F.lit(-1).cast("long").alias("doc_id"), "text")
+    assert model.ids[0] in score_toxicity(example, model).first().evidence
+    with pytest.raises(TypeError, match="doc_id"):
+        fit(docs.withColumn("doc_id", F.col("doc_id").cast("string")), labels)
+    wide = labels.withColumn("toxic", F.col("toxic").cast("long"))
+    assert fit(docs.limit(200), wide.where("doc_id < 150")) is not None
     small = score_toxicity(odd, model).collect()
     assert len(small) == len(TEXTS) and {r.score for r in small if r.doc_id in (2, 3)} == {model.base}
     assert fit(docs, labels.limit(0)) is None and {r.score for r in score_toxicity(odd, None).collect()} == {0.0} and rows(score_toxicity(none, model)) == []
