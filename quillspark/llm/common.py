@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -29,10 +30,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Paths that stored() has written and nobody has dropped; see drop_written().
+_WRITTEN: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of spark.checkpoint.dir; where that is unset (tests), a folder of this machine is set."""
+    """A new path in the shared folder of spark.checkpoint.dir. Where that is unset a local session gets a folder of this machine; on a cluster it raises."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="quillspark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -42,15 +49,51 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: lineage ends there, and a lost executor loses nothing."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_written(spark: SparkSession, since: int = 0) -> None:
+    """Deletes what stored() wrote, from the since-th path on; results that read it must have been written or collected before."""
+    while len(_WRITTEN) > since:
+        drop_path(spark, _WRITTEN.pop())
+
+
+def written() -> int:
+    return len(_WRITTEN)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def free(name: str, columns: list[str]) -> str:
+    """The name, with as many underscores after it as make it none of the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+#: A key is hot from this share of all rows on, so there are at most so many hot keys.
+HOT_KEYS = 1000
+
+
+def join_unique(rows: DataFrame, each: DataFrame, key: str, total: int) -> DataFrame:
+    """rows joined to each, which has a key once, with its rows n; total is the sum of n. Drops n.
+
+    Keys with more than a HOT_KEYS-th of all rows, so HOT_KEYS at most, are broadcast and their rows
+    stay where they are; the others are shuffled.
+    """
+    hot = each.where(F.col("n") * HOT_KEYS > total).drop("n")
+    cold = each.where(F.col("n") * HOT_KEYS <= total).drop("n")
+    # fewer than HOT_KEYS rows, by their definition
+    there = F.broadcast(hot)
+    return rows.join(there, key).unionByName(rows.join(there.select(key), key, "left_anti").join(cold, key))
+
+
 def fold() -> Column:
     """crc32 of doc_id's decimal text, modulo 4; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4

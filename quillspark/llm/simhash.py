@@ -10,13 +10,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import steps, stored, table, utf8
+from quillspark.llm.common import free, join_unique, steps, stored, table, utf8
 from quillspark.llm.components import components
 from quillspark.llm.shingle_sets import SIMILARITY, WORDS, similar
 
 SHINGLE = 3
 SEED = 42
 RADIUS = 3
+CROWD = 1000  # fingerprints with one key from which the key is split by the bytes of the other segment
+DROPPED = 500_000  # dropped rows up to which they are broadcast; more are joined by a shuffle
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -84,13 +86,22 @@ def links(fps: DataFrame) -> DataFrame:
         return F.concat(F.array(segment), F.transform(F.filter(one_more, lambda m: segment.bitwiseAND(m) == 0), lambda m: segment.bitwiseOR(m)))
 
     asked = fps.select(F.col("fp").alias("a"), F.explode(F.concat(ball(segments[0]), F.transform(ball(segments[1]), lambda x: x.bitwiseOR(second)))).alias("key"))
+    part = F.shiftrightunsigned("key", 32)
     differ = F.col("a").bitwiseXOR(F.col("b"))
     first = F.bit_count(F.shiftrightunsigned(differ, 32))
-    found = asked.join(held, "key").where((F.col("a") != F.col("b")) & (F.bit_count(differ) <= RADIUS))
-    part = F.shiftrightunsigned("key", 32)
     own = F.when(part == 0, F.shiftrightunsigned("a", 32)).otherwise(F.col("a").bitwiseAND(low))
     exact = own == F.col("key").bitwiseAND(low)
-    return found.where((~exact | (F.col("a") < F.col("b"))) & ((part == 0) | (first > 1))).select("a", "b")
+    once = (~exact | (F.col("a") < F.col("b"))) & ((part == 0) | (first > 1))
+    near = (F.col("a") != F.col("b")) & (F.bit_count(differ) <= RADIUS) & once
+    crowded = held.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key", F.lit(True).alias("crowded"))
+    pairs = [side.join(crowded, "key", "left") for side in (asked, held)]
+    # of the four bytes of the other segment three differing bits leave one alike; a pair counts by its first
+    byte = lambda c, i: F.shiftrightunsigned(F.when(part == 0, F.col(c).bitwiseAND(low)).otherwise(F.shiftrightunsigned(c, 32)), 8 * i).bitwiseAND(F.lit(255))
+    split = [rows.withColumn("sub", F.explode(F.when(F.col("crowded"), F.array(*(F.lit(i << 8).bitwiseOR(byte(c, i)) for i in range(4)))).otherwise(F.array(F.lit(-1).cast("long"))))).drop("crowded") for rows, c in zip(pairs, "ab", strict=True)]
+    earlier = F.lit(False)
+    for i in range(3):
+        earlier = earlier | ((F.shiftright("sub", 8) > i) & (byte("a", i) == byte("b", i)))
+    return split[0].join(split[1], ["key", "sub"]).where(near & ~((F.col("sub") >= 0) & earlier)).select("a", "b")
 
 
 def near_duplicates(df: DataFrame) -> DataFrame:
@@ -103,25 +114,43 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     copies costs one node.
     """
     signed = stored(fingerprints(df), "fingerprints")
-    nodes = stored(signed.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    nodes = stored(signed.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "nodes")
     roots = components(links(nodes.select("fp")))
     linked = stored(roots.join(nodes, roots.node == nodes.fp).select("fp", "root", "least"), "roots")
-    named = linked.join(linked.groupBy("root").agg(F.min("least").alias("component")), "root").select("fp", "component")
-    every = nodes.join(named, "fp", "left").select("fp", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component")).alias("component_id"))
-    return signed.join(every, "fp").select("doc_id", "fp", "component_id")
+    sizes = linked.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("n"))
+    named = join_unique(linked, sizes, "root", linked.count()).select("fp", "component")
+    every = nodes.join(named, "fp", "left").select("fp", "n", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component")).alias("component_id"))
+    return join_unique(signed, stored(every, "components"), "fp", signed.count()).select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each group of near-duplicates stays: that whose doc_id is the smallest. Columns are those of docs.
+    """One document of each group of near-duplicates stays. Columns are those of docs, which must have doc_id and text.
 
     Near-duplicates are texts whose sets of shingles of so many words have this Jaccard similarity or
-    more, and chains of such (shingle_sets.similar); the fingerprints and RADIUS of op2 are not used.
-    Of rows that repeat such an id within the component one stays. Rows without a doc_id can't be
-    named as the survivor and stay.
+    more, and chains of such (shingle_sets.similar). Fingerprints of 64 bits can't find them: at 0.8
+    about ten bits differ, beyond what RADIUS and segments reach. Rows are told apart by doc_id and a
+    hash of all columns, so an id that stands on several texts loses none that is no duplicate. The
+    survivor of a group is the row of the smallest doc_id, then the smallest hash; of rows that are
+    alike in every column one stays. Null and empty texts are one group. Rows without a doc_id can't
+    be named as the survivor and stay. Texts are never shuffled but for rows that are alike, and
+    beyond DROPPED dropped rows.
     """
-    near = stored(similar(docs, size, similarity), "components")
-    keep = near.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.where("doc_id IS NOT NULL").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    row, gone_id, gone_row = (free(name, docs.columns) for name in ("_row", "_gone_id", "_gone_row"))
+    marked = docs.withColumn(row, F.xxhash64(*docs.columns))
+    rows = stored(similar(marked, size, similarity, row), "components")
+    known = rows.where("doc_id IS NOT NULL")
+    keep = known.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("k")).select("k.doc_id", "k.row")
+    each = known.groupBy("doc_id", "row").agg(F.count("*").alias("n"))
+    # a row that stays, but stands there several times, is dropped with the rest and put back once
+    keep = keep.withColumn("kept", F.lit(True))
+    gone = stored(each.join(keep, ["doc_id", "row"], "left").where("kept IS NULL OR n > 1").select(F.col("doc_id").alias(gone_id), F.col("row").alias(gone_row), "kept"), "dropped")
+    small = F.broadcast if gone.count() <= DROPPED else lambda x: x
+    same = lambda x: (marked["doc_id"] == x[gone_id]) & (marked[row] == x[gone_row])
+    once = gone.where("kept")
+    out = marked.join(small(gone), same(gone), "left_anti")
+    if not once.isEmpty():
+        out = out.unionByName(marked.join(small(once), same(once), "left_semi").dropDuplicates(["doc_id", row]))
+    return out.select(*docs.columns)
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:

@@ -63,6 +63,35 @@ def test_simhash(odd, full, none):
     assert rows(near_duplicates(none)) == [] and rows(drop_near_duplicates(none)) == []
 
 
+def test_rows_that_share_an_id(spark):
+    """An id that stands on several texts: only rows that duplicate another go, and of rows alike in all columns one stays."""
+    from quillspark.llm.simhash import drop_near_duplicates
+
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    docs = spark.createDataFrame([(3, a, "x"), (5, a, "x"), (5, b, "x"), (9, c, "x"), (9, d, "x"), (9, d, "x"), (9, d, "y"), (None, a, "x"), (None, a, "x")], "doc_id long, text string, _row string").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in drop_near_duplicates(docs).collect()), key=repr)
+    assert got == sorted([(3, a), (5, b), (9, c), (9, d), (None, a), (None, a)], key=repr)
+    assert drop_near_duplicates(docs).columns == docs.columns
+
+
+def test_joins_and_links_of_hot_keys(spark, monkeypatch):
+    from quillspark.llm import common, simhash
+
+    rows = spark.createDataFrame([(i % 7 if i < 60 else 9, i) for i in range(100)], "k long, i long")
+    each = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("i").alias("least"))
+    want = sorted(tuple(r) for r in rows.join(each.drop("n"), "k").collect())
+    for hot in (1, 4, 1000):
+        monkeypatch.setattr(common, "HOT_KEYS", hot)
+        assert sorted(tuple(r) for r in common.join_unique(rows, each, "k", 100).collect()) == want
+    rng = np.random.default_rng(1)
+    fps = sorted({int(5 << 32 | x) for x in rng.integers(0, 1 << 12, 300)} | {int(x) for x in rng.integers(0, 1 << 62, 100)})
+    table = spark.createDataFrame([(x,) for x in fps], "fp long")
+    want = {(x, y) for i, x in enumerate(fps) for y in fps[i + 1 :] if (x ^ y).bit_count() <= 3}
+    monkeypatch.setattr(simhash, "CROWD", 20)
+    got = [tuple(sorted((r.a, r.b))) for r in simhash.links(table).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_near_duplicates_of_five_word_shingles(spark):
     """Groups are those of all pairs of five-word Jaccard 0.8 or more, by brute force."""
     from quillspark.llm.shingle_sets import similar
