@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,14 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import draw, steps, table, utf8
+from quillspark.llm.common import draw, steps, stored, table, utf8
 from quillspark.llm.features import LOWER, grams, unit
 
 WIDTH = 1024  # hashed n-grams of the content view
 LABELLED = 3000  # labelled rows of each class at most
-POOL = 3000  # unlabelled rows, about
 ROUNDS = 4
-TAUGHT = 0.05  # share of the pool that a view labels for the other in a round
+TAUGHT = 150  # texts that a view labels for the other in a round, dealt to the classes by their share of the labelled rows
+SURE = 1.0  # log odds from which a view's opinion is a pseudo-label
 KEEP = 0.4  # quality from which a document stays
 ROWS = 1024
 
@@ -43,8 +44,9 @@ def metadata_view(data: np.ndarray, offsets: np.ndarray, source: list, lang: lis
         seen: dict = {}
         for i, value in enumerate(column):
             if value not in seen:
-                seen[value] = base + int.from_bytes(str(value).encode()[-8:], "little") * 2654435761 % (1 << 32) * size // (1 << 32)
-            hashed[i, seen[value]] = 0.5
+                seen[value] = -1 if value is None else base + zlib.crc32(value.encode()) * size // (1 << 32)
+            if seen[value] >= 0:
+                hashed[i, seen[value]] = 0.5
     return np.concatenate([numbers.astype(np.float32), numbers.astype(np.float32) ** 2, hashed], 1)
 
 
@@ -87,43 +89,38 @@ def _calibrate(odds: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[flo
 
 
 class CoTrained:
-    """Two views' classifiers, each calibrated, and the weight of each in the sum of their log odds."""
+    """Two views' classifiers, fitted to the labelled rows and to what the other view has taught, each calibrated and weighed.
 
-    def __init__(self, text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray) -> None:
+    taught holds (text, meta, label) of pseudo-labels that each view has got so far.
+    """
+
+    def __init__(self, text: np.ndarray, meta: np.ndarray, y: np.ndarray, taught: list[tuple[np.ndarray, np.ndarray, np.ndarray]] | None = None) -> None:
         # every fourth labelled row is kept for calibration
         held = np.arange(len(y)) % 4 == 3
         if not (len(set(y[held].tolist())) == 2 and len(set(y[~held].tolist())) == 2):
             held = np.zeros(len(y), bool)
-        views = [(text[~held], pool_text), (meta[~held], pool_meta)]
         train_y = y[~held].astype(np.float32)
-        taught = [np.full(len(pool_text), np.nan, np.float32) for _ in views]
-        for step in range(ROUNDS + 1):
-            models = []
-            for (x, pool), extra in zip(views, taught, strict=True):
-                known = ~np.isnan(extra)
-                ys = np.concatenate([train_y, extra[known]])
-                weight = _balanced(ys)
-                weight[len(train_y) :] *= 0.5
-                models.append(Logistic(np.concatenate([x, pool[known]]), ys, weight))
-            if step == ROUNDS or not len(pool_text):
-                break
-            for i, (model, (_, pool)) in enumerate(zip(models, views, strict=True)):
-                odds = model.odds(pool)
-                other = taught[1 - i]
-                for label in (0.0, 1.0):
-                    share = float((train_y == label).mean())
-                    most = max(1, int(TAUGHT * len(pool) * share))
-                    best = np.argsort(odds if label == 0 else -odds, kind="stable")[:most]
-                    sure = best[(odds[best] < -1) if label == 0 else (odds[best] > 1)]
-                    other[sure] = np.where(np.isnan(other[sure]), label, other[sure])
-        self.models = models
+        self.share = float(train_y.mean())
+        self.models = []
+        for i, x in enumerate((text, meta)):
+            own, ys = x[~held], train_y
+            if taught is not None and len(taught[i][2]):
+                own, ys = np.concatenate([own, taught[i][i]]), np.concatenate([ys, taught[i][2].astype(np.float32)])
+            weight = _balanced(ys)
+            weight[len(train_y) :] *= 0.5
+            self.models.append(Logistic(own, ys, weight))
         use = held if held.any() else np.ones(len(y), bool)
         weight = np.ones(int(use.sum()))
-        self.curves = [_calibrate(m.odds(x[use]), y[use].astype(float), weight) for m, x in zip(models, (text, meta), strict=True)]
-        sides = [s * m.odds(x[use]) + o for (s, o), m, x in zip(self.curves, models, (text, meta), strict=True)]
+        odds = [m.odds(x[use]) for m, x in zip(self.models, (text, meta), strict=True)]
+        self.curves = [_calibrate(z, y[use].astype(float), weight) for z in odds]
+        sides = [s * z + o for (s, o), z in zip(self.curves, odds, strict=True)]
         loss = [float(np.log1p(np.exp(-np.where(y[use] > 0.5, z, -z))).mean()) + 1e-3 for z in sides]
         self.trust = [1 / x / sum(1 / q for q in loss) for x in loss]
 
+    def quotas(self) -> tuple[int, int]:
+        """Pseudo-labels of 0 and of 1 that a view gives in a round, at most."""
+        return max(1, round(TAUGHT * (1 - self.share))), max(1, round(TAUGHT * self.share))
+
     def score(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         odds = [np.clip(s * m.odds(x) + o, -30, 30) for (s, o), m, x in zip(self.curves, self.models, (text, meta), strict=True)]
         p = lambda z: 1 / (1 + np.exp(-z.astype(float)))
@@ -138,17 +135,10 @@ def _views(batch: pa.RecordBatch, first: int) -> Iterator[tuple[int, int, np.nda
         yield a, b, content_view(part, at), metadata_view(part, at, source[a:b], lang[a:b], size[a:b])
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> CoTrained | None:
-    """The two classifiers, from at most LABELLED rows of each class and a pool of about POOL rows without labels.
-
-    None where labels of a class are missing.
-    """
-    usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality").distinct().withColumn("draw", draw())
+def _labelled(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, list]:
+    """Vectors of both views, labels and ids of at most LABELLED rows of each class, in a fixed order."""
+    usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col("quality").cast("int").alias("quality")).distinct().withColumn("draw", draw())
     chosen = [usable.where(F.col("quality") == y).orderBy("draw", "doc_id").limit(LABELLED) for y in (0, 1)]
-    every = docs.count()
-    # a bounded draw: LABELLED rows of a class, and about POOL others
-    picked = chosen[0].union(chosen[1]).select("doc_id", "quality").union(
-        docs.where(F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id", F.lit("pool")), F.lit(1 << 30)) < int((1 << 30) * min(1.0, POOL / max(1, every))))).select("doc_id", F.lit(None).cast("int")))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,16 +146,87 @@ def fit(docs: DataFrame, labels: DataFrame) -> CoTrained | None:
                 both = np.concatenate([text, meta], 1).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array([r.tobytes() for r in both], pa.binary())], names=["doc_id", "quality", "vector"])
 
-    texts = docs.select("doc_id", "text", "source", "lang", "n_chars").join(F.broadcast(picked), "doc_id")
+    # bounded by LABELLED rows of a class
+    picked = F.broadcast(chosen[0].union(chosen[1]).select("doc_id", "quality"))
+    texts = docs.select("doc_id", "text", "source", "lang", "n_chars").join(picked, "doc_id")
     rows = texts.select("doc_id", "quality", "text", "source", "lang", "n_chars").mapInArrow(vectors, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, quality int, vector binary").toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["doc_id"], r["quality"] is None, r["quality"] or 0, r["vector"]))
-    if len({r["quality"] for r in rows} - {None}) < 2:
+    rows.sort(key=lambda r: (r["doc_id"], r["quality"], r["vector"]))
+    x = np.stack([np.frombuffer(r["vector"], np.float32) for r in rows]) if rows else np.zeros((0, 0), np.float32)
+    return x, np.array([r["quality"] for r in rows], int), [r["doc_id"] for r in rows]
+
+
+def _confident(docs: DataFrame, model: CoTrained, known: list) -> list[dict]:
+    """Of all documents but the known ones, the texts of which each view is surest, its quota for each label, with their vectors.
+
+    Each task keeps its own best; the best of those follow by a top-k, so what is gathered is bounded
+    by the quotas. A text counts once, whatever its copies; ties go by the text's hash.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((model, frozenset(known)))
+
+    def best(rows: list[tuple], quota: int) -> list[tuple]:
+        out: dict = {}
+        for r in sorted(rows, key=lambda r: r[:2]):
+            out.setdefault(r[1], r)
+            if len(out) == quota:
+                break
+        return list(out.values())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, skip = shared.value
+        held: dict[tuple[int, int], list[tuple]] = {(view, label): [] for view in (0, 1) for label in (0, 1)}
+        for batch in batches:
+            new = np.array([i not in skip for i in batch.column(0).to_pylist()], bool)
+            mark = batch.column(1).to_numpy()
+            for a, b, text, meta in _views(batch, 2):
+                for view, (classifier, x) in enumerate(zip(m.models, (text, meta), strict=True)):
+                    odds = classifier.odds(x)
+                    for label in (0, 1):
+                        rank = odds if label == 0 else -odds
+                        mine, quota = held[view, label], m.quotas()[label]
+                        limit = min(-SURE, mine[-1][0] if len(mine) >= quota else -SURE)
+                        sure = np.flatnonzero(new[a:b] & (rank <= limit))
+                        if len(sure):
+                            more = [(float(rank[i]), int(mark[a + i]), text[i].tobytes(), meta[i].astype(np.float32).tobytes()) for i in sure[np.argsort(rank[sure], kind="stable")][: 8 * quota]]
+                            held[view, label] = best(mine + more, quota)
+        rows = [(view, label, *r) for (view, label), rs in held.items() for r in rs]
+        for a in range(0, len(rows), 64):
+            view, label, rank, mark, text, meta = zip(*rows[a : a + 64], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(view, pa.int32()), pa.array(label, pa.int32()), pa.array(rank, pa.float64()), pa.array(mark, pa.int64()), pa.array(text, pa.binary()), pa.array(meta, pa.binary())], names=["view", "label", "rank", "mark", "text", "meta"])
+
+    sources = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text", "source", "lang", "n_chars")
+    local = stored(sources.mapInArrow(run, "view int, label int, rank double, mark bigint, text binary, meta binary"), "confident")
+    out = []
+    for view in (0, 1):
+        for label in (0, 1):
+            quota = model.quotas()[label]
+            own = local.where((F.col("view") == view) & (F.col("label") == label)).groupBy("mark").agg(F.min(F.struct("rank", "text", "meta")).alias("r"))
+            out += [{"view": view, "label": label, **r.asDict()} for r in own.select("mark", "r.*").orderBy("rank", "mark").limit(quota).collect()]
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> CoTrained | None:
+    """The two classifiers, from at most LABELLED rows of each class, and ROUNDS rounds over all other documents.
+
+    In a round each view scores all documents, and the texts that it is surest of (TAUGHT) become
+    pseudo-labels of the other view. None where labels of a class are missing; null ids and other
+    labels are left out.
+    """
+    x, y, ids = _labelled(docs, labels)
+    if len(set(y.tolist())) < 2:
         return None
-    x = np.stack([np.frombuffer(r["vector"], np.float32) for r in rows])
-    y = np.array([-1 if r["quality"] is None else r["quality"] for r in rows])
-    known = {r["doc_id"] for r in rows if r["quality"] is not None}
-    pool = np.array([r["quality"] is None and r["doc_id"] not in known for r in rows])
-    return CoTrained(x[y >= 0, :WIDTH], x[y >= 0, WIDTH:], y[y >= 0], x[pool, :WIDTH], x[pool, WIDTH:])
+    text, meta = x[:, :WIDTH], x[:, WIDTH:]
+    got: list[dict[int, tuple]] = [{}, {}]  # by view that learns: text's hash -> vectors and label
+    model = CoTrained(text, meta, y)
+    for _ in range(ROUNDS):
+        before = [len(g) for g in got]
+        for r in _confident(docs, model, ids):
+            vectors = (np.frombuffer(r["text"], np.float32), np.frombuffer(r["meta"], np.float32), r["label"])
+            got[1 - r["view"]].setdefault(r["mark"], vectors)
+        if [len(g) for g in got] == before:
+            break
+        taught = [tuple(np.stack([v[i] for v in g.values()]) if g else np.zeros((0, w), np.float32) for i, w in enumerate((text.shape[1], meta.shape[1]))) + (np.array([v[2] for v in g.values()]),) for g in got]
+        model = CoTrained(text, meta, y, taught)
+    return model
 
 
 def score_quality(docs: DataFrame, model: CoTrained | None) -> DataFrame:
@@ -173,8 +234,10 @@ def score_quality(docs: DataFrame, model: CoTrained | None) -> DataFrame:
 
     A null text counts as empty; null source, lang and n_chars are values of their own. Without a
     model (labels of one class only, or none) all three are 1. Repeated rows repeat; an empty table
-    gives an empty table; further columns pass through, and the names that are added must be free.
+    gives an empty table; further columns pass through; a column that has one of the added names raises.
     """
+    if {c.lower() for c in docs.columns} & {"score_text", "score_meta", "quality"}:
+        raise ValueError("the columns score_text, score_meta and quality are added, so docs must not have them")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # WIDTH numbers and a few
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +257,11 @@ def score_quality(docs: DataFrame, model: CoTrained | None) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents of quality KEEP or more, with the columns of docs."""
+    """The documents of quality KEEP or more: doc_id, text, lang, source and n_chars of each.
+
+    Nulls in any column, empty texts and repeated rows are scored like others; an empty table gives an
+    empty table; without labels of both classes all stay.
+    """
     base = docs.select("doc_id", "text", "lang", "source", "n_chars")
     kept = score_quality(base, fit(base, labels)).where(F.col("quality") >= KEEP)
     return kept.select("doc_id", "text", "lang", "source", "n_chars")

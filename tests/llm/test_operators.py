@@ -240,18 +240,30 @@ def test_windows_against_plain_sets(spark):
 
 
 def test_quality(spark, full, none):
-    from quillspark.llm.common import table
-    from quillspark.llm.quality import fit, keep_good, score_quality
+    """Held-out accuracy: labels of every fourth document are kept from the fit."""
+    from quillspark.llm.common import fold, table
+    from quillspark.llm.quality import KEEP, fit, keep_good, score_quality
 
     sf = "/root/testdata/sf0.01"
-    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
-    model = fit(docs, labels)
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels").where("quality IS NOT NULL")
+    model = fit(docs, labels.where(fold() != 2))
     scored = {r.doc_id: r.quality for r in score_quality(docs, model).select("doc_id", "quality").collect()}
-    known = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None}
-    right = [(scored[i] >= 0.4) == bool(q) for i, q in known.items() if i in scored]
-    assert sum(right) > 0.95 * len(right)
+    held = [((scored[r.doc_id] >= KEEP), r.quality) for r in labels.where(fold() == 2).collect() if r.doc_id in scored]
+    good, bad = [k for k, q in held if q == 1], [k for k, q in held if q == 0]
+    print("kept of good, of bad", np.mean(good), np.mean(bad), len(held))
+    assert np.mean(good) > 0.95 and np.mean(bad) < 0.3
     assert score_quality(full, model).count() == len(TEXTS) and rows(score_quality(none, model)) == []
     assert keep_good(full, labels.limit(0)).count() == len(TEXTS)
+    with pytest.raises(ValueError, match="quality"):
+        score_quality(full.withColumn("quality", F.lit(1)), model)
+
+
+def test_whole_sources_are_hashed_and_null_is_no_source():
+    from quillspark.llm.quality import metadata_view
+
+    sources = [None, "None", *(f"a-long-name-{i}-of-one-ending" for i in range(20))]
+    got = metadata_view(np.zeros(0, np.uint8), np.zeros(len(sources) + 1, np.int64), sources, [None] * len(sources), [0] * len(sources))[:, 20:68]
+    assert got[0].sum() == 0 and got[1].sum() == 0.5 and len({tuple(r) for r in got[2:].tolist()}) > 10
 
 
 def test_toxicity(spark, odd, none):
