@@ -222,6 +222,47 @@ def test_decontamination(spark, none):
     assert rows(contaminated(docs, bench.limit(0))) == [] and rows(contaminated(none, bench)) == []
 
 
+def test_items_that_are_short_or_dense_with_slots(spark):
+    from quillspark.llm.decontaminate import contaminated
+
+    apples = "Tom has 3 apples. Anna has 5 apples. Tom gives Anna 2 apples. How many apples does Tom have now?"
+    items = [(1, "What is 12 + 7 * 3?"), (2, "Compute 3 x 4 + 5 x 6 - 7."), (3, "Solve 2x + 3 = 7"), (4, "Who wrote Hamlet?"), (5, apples), (6, "A tank holds 12 litres and leaks three litres each hour until it is empty again"), (7, "Yes"), (8, None), (9, "")]
+    texts = [
+        (10, "Sheet. What is 12 + 7 * 3? Next", 1, False), (11, "q: what is 14 + 9 * 2? ok", 1, True), (12, "Compute 3 x 4 + 5 x 6 - 7.", 2, False), (13, "Now compute 8 x 2 + 9 x 5 - 1. Done", 2, True),
+        (14, "and solve 2x + 3 = 7", 3, False), (15, "Who wrote Hamlet?", 4, False), (16, apples.replace("Tom", "Mia").replace("Anna", "Carl").replace("3", "8").replace("5", "4").replace("2", "6"), 5, True), (17, apples.upper(), 5, False),
+        (18, "Here: a tank holds 12.50 litres and leaks four litres each hour until it is empty again", 6, True), (19, "Yes", 7, False), (20, "Yes, that is a text of its own with some words", None, None), (21, "what is 1 + 1", None, None), (22, "", None, None), (23, None, None, None),
+        # verbatim and once more with other values
+        (24, apples + " " + apples.replace("Tom", "Mia").replace("3", "9"), 5, False),
+    ]
+    docs = spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.reparameterised for r in contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(i, item): again for i, _, item, again in texts if item}
+
+
+def test_recall_of_other_values(spark):
+    """Passages of the benchmark with numbers and names put in, and then changed: nearly all are found, as changed; none elsewhere."""
+    import re
+
+    from quillspark.llm.common import table
+    from quillspark.llm.decontaminate import contaminated
+
+    rng = np.random.default_rng(5)
+    names = ["Anna", "Boris", "Clara", "Derek", "Elena", "Farid", "Greta", "Hugo"]
+    bench = table(spark, DATA, "benchmark").collect()
+    items, docs = [], []
+    for r in bench:
+        w = re.findall(r"\w+", r.text.lower())[:60]
+        if len(w) < 20:
+            continue
+        for i in range(6, len(w), 9):
+            w[i] = "{%s}" % ("n" if i % 2 else "p")
+        fill = lambda: re.sub(r"\{(.)\}", lambda m: str(rng.integers(2, 99)) if m[1] == "n" else str(rng.choice(names)), " ".join(w))
+        items.append((r.item_id, fill()))
+        docs.append((r.item_id, f"Some lines before it. {fill()} and after"))
+    got = {(x.doc_id, x.item_id): x.reparameterised for x in contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(items) >= 20 and all(d == i for d, i in got) and sum(got.values()) >= 0.9 * len(items)
+
+
 def test_windows_against_plain_sets(spark):
     """Every document that holds a whole passage is found, and none whose plain five-word windows share less than half."""
     import re
