@@ -169,6 +169,7 @@ def test_pii(odd, full, none):
     assert detect(odd).count() == len(TEXTS) and got[1].n_email == 1 and got[1].spans == f"email:{TEXTS[0][1].index('a.b@')}:{TEXTS[0][1].index(' and')}" and got[2].spans == ""
     masked = {r.doc_id: r for r in mask(full).collect()}
     assert masked[1].text == "A first text, mail <EMAIL> and token = abcdef12." and masked[1].n_chars == len(masked[1].text)
+    assert {r.text for r in mask(odd).where("doc_id = 1").collect()} == {masked[1].text} and mask(odd).columns == odd.columns
     assert masked[2].text is None and masked[4].text == LONG and rows(mask(none)) == []
 
 
