@@ -7,13 +7,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import draw, fold, steps, table, utf8
 from quillspark.llm.features import LETTERS_ONLY, grams, unit
 
 WIDTH = 4096  # hashed n-grams of 1 to 3 bytes
-EXAMPLES = 800  # texts of each language that centroids are fitted on, about
+EXAMPLES = 800  # texts of each language that centroids are fitted on, at most
+LANGUAGES = 1000  # values of lang, at most
 CENTROIDS = 4  # of each language
 SHARPNESS = 40.0  # of the score, over cosines
 SPREAD = 6.0  # standard deviations below a centroid's mean cosine at which a text is rejected
@@ -66,48 +68,51 @@ class Centroids:
 def fit(docs: DataFrame) -> Centroids | None:
     """Centroids from the texts and non-null lang of documents outside fold 2; None where there are none.
 
-    Document frequencies are counted over all of them; centroids come from about EXAMPLES texts of
-    each language, by a fixed draw.
+    Document frequencies are counted over all of them and summed before they are gathered; centroids
+    come from EXAMPLES texts of each language at most, by a fixed draw, and are clustered in tasks.
+    The driver gets WIDTH counts, and CENTROIDS vectors of each of at most LANGUAGES languages.
     """
     known = docs.where((fold() != 2) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().limit(LANGUAGES + 1).collect()}
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} values of lang: that is no column of languages")
     if not sizes:
         return None
-    share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, EXAMPLES / n))))
+    # twice the share that gives EXAMPLES texts, so that the cut below decides
+    share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 2 * EXAMPLES / n))))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, seen = np.zeros(WIDTH, np.int64), 0
         for batch in batches:
             data, offsets = utf8(batch.column(0))
-            chosen = batch.column(2).to_pylist()
             for a, b in steps(offsets, rows=ROWS):
-                tf = _tf(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                df += (tf > 0).sum(0)
+                df += (grams(LETTERS_ONLY[data[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a], WIDTH) > 0).sum(0)
                 seen += b - a
-                keep = [i for i in range(b - a) if chosen[a + i]]
-                if keep:
-                    yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a).take(pa.array(keep)).cast(pa.string()), pa.array([tf[i].astype(np.float16).tobytes() for i in keep], pa.binary()), pa.nulls(len(keep), pa.int64())], names=["lang", "vector", "n"])
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), pa.array([np.concatenate([df, [seen]]).tobytes()], pa.binary()), pa.array([1], pa.int64())], names=["lang", "vector", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(WIDTH + 1)), pa.array(np.append(df, seen))], names=["place", "n"])
 
-    rows = known.select("text", "lang", (draw() < share[F.col("lang")]).alias("chosen")).mapInArrow(learn, "lang string, vector binary, n bigint").toArrow().to_pylist()
-    counts = np.sum([np.frombuffer(r["vector"], np.int64) for r in rows if r["n"]], axis=0)
+    counts = np.zeros(WIDTH + 1, np.int64)
+    # WIDTH + 1 rows
+    for r in known.select("text").mapInArrow(learn, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).collect():
+        counts[r["place"]] = r["n"]
     idf = (np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1).astype(np.float32)
-    names = sorted(sizes)
-    centres, language, floor = [], [], []
-    for i, lang in enumerate(names):
-        mine = sorted(r["vector"] for r in rows if not r["n"] and r["lang"] == lang)
-        if not mine:
-            continue
-        x = unit(np.stack([np.frombuffer(v, np.float16).astype(np.float32) for v in mine]) * idf)
-        c = _cluster(x, CENTROIDS)
+    order = W.partitionBy("lang").orderBy("drawn", F.xxhash64("text"))
+    chosen = known.where(draw() < share[F.col("lang")]).select("lang", "text", draw().alias("drawn")).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= EXAMPLES)
+
+    def cluster(key: tuple, rows: pa.Table) -> pa.Table:
+        data, offsets = utf8(rows["text"])
+        vectors = [np.zeros((0, WIDTH), np.float32), *(_tf(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in steps(offsets, rows=ROWS))]
+        x = unit(np.concatenate(vectors) * idf)
+        c = _cluster(x[np.lexsort(x[:, :8].T)], CENTROIDS)
         near = x @ c.T
         own = near.argmax(1)
-        for j in range(len(c)):
-            mine_near = near[own == j, j]
-            centres.append(c[j])
-            language.append(i)
-            floor.append(float(mine_near.mean() - SPREAD * mine_near.std()) if len(mine_near) > 1 else 0.0)
-    return Centroids(names, idf, np.stack(centres), np.array(language), np.array(floor)) if centres else None
+        floors = [float(near[own == j, j].mean() - SPREAD * near[own == j, j].std()) if (own == j).sum() > 1 else 0.0 for j in range(len(c))]
+        return pa.table({"lang": [key[0].as_py()] * len(c), "centre": pa.array([v.astype(np.float32).tobytes() for v in c], pa.binary()), "floor": pa.array(floors, pa.float64())})
+
+    # a group is EXAMPLES texts at most
+    rows = chosen.select("lang", "text").groupBy("lang").applyInArrow(cluster, "lang string, centre binary, floor double").toArrow().to_pylist()
+    rows.sort(key=lambda r: (r["lang"], r["centre"]))
+    names = sorted({r["lang"] for r in rows})
+    return Centroids(names, idf, np.stack([np.frombuffer(r["centre"], np.float32) for r in rows]), np.array([names.index(r["lang"]) for r in rows]), np.array([r["floor"] for r in rows]))
 
 
 def identify(docs: DataFrame, model: Centroids | None) -> DataFrame:

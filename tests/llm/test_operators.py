@@ -157,6 +157,23 @@ def test_language(spark, odd, none):
     model = fit(docs)
     got = identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
     assert sum(r.lang == r.lang_nearest for r in got) > 0.95 * len(got) and all(0 <= r.score <= 1 for r in got)
+    held = [r for r in got if zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
+    assert len(held) > 20 and sum(r.lang == r.lang_nearest for r in held) > 0.95 * len(held)
+    # plain Python: counts of the grams by a loop, then the nearest centroid by all cosines
+    found = {r.doc_id: (r.lang_nearest, r.cosine) for r in got}
+    for r in docs.limit(25).collect():
+        raw = bytes((c + 32 if 65 <= c <= 90 else c) if 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 else 32 for c in r.text.encode())
+        counts = np.zeros(4096)
+        for n in (1, 2, 3):
+            for i in range(len(raw) - n + 1):
+                code = n
+                for c in raw[i : i + n]:
+                    code = (code * 257 + c) % (1 << 32)
+                counts[(code * 2654435761 % (1 << 32)) >> 20] += 1
+        v = np.log1p(counts) * model.idf
+        cosines = model.centres @ (v / np.sqrt((v * v).sum()))
+        best = int(cosines.argmax())
+        assert found[r.doc_id][0] == model.names[model.language[best]] and abs(found[r.doc_id][1] - cosines[best]) < 1e-4
     small = {(r.doc_id, r.lang_nearest) for r in identify(odd, model).collect()}
     assert {(2, "und"), (3, "und"), (8, "und")} <= small and (7, "und") not in small
     assert fit(none) is None and {r.lang_pred for r in identify(odd, None).collect()} == {"und"} and rows(identify(none, model)) == []
