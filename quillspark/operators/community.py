@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -11,7 +12,10 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.text import truthy
 
-LEVELS, SWEEPS = 2, 5
+#: Bounds that a run isn't meant to reach: it ends when nothing moves and modularity no longer rises, and warns otherwise.
+LEVELS, SWEEPS = 20, 60
+IDLE = 3  # sweeps without a move in a row that end a level
+LABELS, TITLES = 15, 8  # of a community's description
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -19,6 +23,8 @@ def _stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="quillspark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     path = f"{folder.rstrip('/')}/community-{uuid.uuid4().hex}"
@@ -59,9 +65,12 @@ def _local_moves(edges: DataFrame, sweeps: int) -> DataFrame:
         labels = _stored(labels.join(moves, "node", "left").select("node", F.coalesce("next", "c").alias("c"), F.col("next").isNotNull().alias("moved")))
         moved = labels.where("moved").count()
         labels = labels.drop("moved")
+        # each node's turn comes in one of any few sweeps, so one idle sweep isn't the end
         idle = 0 if moved else idle + 1
-        if idle == 2:
+        if idle == IDLE:
             break
+    else:
+        warnings.warn(f"nodes still move after {sweeps} sweeps", stacklevel=2)
     return labels
 
 
@@ -84,10 +93,20 @@ def communities(edges: DataFrame, levels: int = LEVELS, sweeps: int = SWEEPS) ->
         labels, best = tried, q
         x, y = moved.toDF("a", "ca"), moved.toDF("b", "cb")
         now = _stored(now.join(x, "a").join(y, "b").groupBy(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).agg(F.sum("w").alias("w")))
+    else:
+        warnings.warn(f"modularity still rises after {levels} levels", stacklevel=2)
     names = labels.groupBy("c").agg(F.min("node").alias("first"))
-    # one row a community, so numbering them is small work
-    names = names.select("c", (F.row_number().over(W.orderBy("first")) - 1).cast("long").alias("community_id"))
-    return labels.join(names, "c").select("node", "community_id")
+    return labels.join(_numbered(names, "first", "community_id"), "c").select("node", "community_id")
+
+
+def _numbered(rows: DataFrame, by: str, name: str) -> DataFrame:
+    """rows with 0, 1, ... in order of a column: places within ranges of it, after the counts of the ranges before."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = _stored(rows.repartitionByRange(parts, by).withColumn("_part", F.spark_partition_id()))
+    # a row a range
+    before = dealt.groupBy("_part").count().withColumn("_before", F.coalesce(F.sum("count").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
+    inside = F.row_number().over(W.partitionBy("_part").orderBy(by)) - 1
+    return dealt.withColumn("_inside", inside).join(before, "_part").select(*rows.columns, (F.col("_before") + F.col("_inside")).cast("long").alias(name))
 
 
 def label_propagation(edges: DataFrame, rounds: int = 10) -> DataFrame:
@@ -104,7 +123,13 @@ def describe(assigned: DataFrame, documents: DataFrame) -> DataFrame:
     """(community_id, topic_labels, representative_documents, summary): names and titles in order, the first 15 and 8."""
     titles = documents.select(F.concat(F.lit("doc:"), "id").alias("node"), F.coalesce(truthy("title_en", "title_ar"), "id").alias("title"))
     rows = assigned.join(titles, "node", "left").select("community_id", F.when(F.col("node").startswith("topic:"), F.substring("node", 7, 1 << 30)).alias("label"), "title")
-    gathered = rows.groupBy("community_id").agg(F.array_sort(F.collect_list("label")).alias("labels"), F.array_sort(F.collect_list("title")).alias("titles"))
+    # the first of each community's labels and titles: the limit applies before the shuffle, so no community is gathered whole
+    firsts = [
+        rows.where(F.col(c).isNotNull()).select("community_id", F.col(c).alias("value")).withColumn("nth", F.row_number().over(W.partitionBy("community_id").orderBy("value"))).where(F.col("nth") <= n)
+        .groupBy("community_id").agg(F.array_sort(F.collect_list("value")).alias(name)) for c, n, name in (("label", LABELS, "labels"), ("title", TITLES, "titles"))
+    ]
+    none = F.array().cast("array<string>")
+    gathered = rows.select("community_id").distinct().join(firsts[0], "community_id", "left").join(firsts[1], "community_id", "left").select("community_id", F.coalesce("labels", none).alias("labels"), F.coalesce("titles", none).alias("titles"))
     join = lambda c, n, by: F.array_join(F.slice(c, 1, n), by)
     summary = F.when(F.size("labels") > 0, F.concat(F.lit("Community around "), join("labels", 5, ", "), F.lit("."))).when(F.size("titles") > 0, F.concat(F.lit("Community around documents: "), join("titles", 3, "; "), F.lit("."))).otherwise("Sparse community with insufficient topic or document labels.")
     return gathered.select("community_id", F.slice("labels", 1, 15).alias("topic_labels"), F.slice("titles", 1, 8).alias("representative_documents"), summary.alias("summary"))

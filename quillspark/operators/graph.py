@@ -130,19 +130,31 @@ class Graph:
     }
 
     def __init__(self, spark, path: str) -> None:
-        self.spark, self.path, self.now = spark, path, {}
+        self.spark, self.path = spark, path
+
+    def versions(self, name: str) -> list[int]:
+        """Versions of a table that were written to their end, by the folder's listing, so a later session finds them."""
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        at = hadoop.Path(f"{self.path}/{name}")
+        files = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(at):
+            return []
+        found = [s.getPath() for s in files.listStatus(at) if s.getPath().getName().startswith("version=")]
+        return sorted(int(p.getName().split("=")[1]) for p in found if files.exists(hadoop.Path(p, "_SUCCESS")))
 
     def read(self, name: str) -> DataFrame | None:
-        return self.spark.read.parquet(self.now[name]) if name in self.now else None
+        held = self.versions(name)
+        return self.spark.read.parquet(f"{self.path}/{name}/version={held[-1]}") if held else None
 
     def merge(self, name: str, rows: DataFrame) -> None:
-        """Upserts rows (a key once) into a table; a failed write leaves the version before."""
-        old = self.read(name)
+        """Upserts rows (a key once) into a table; a failed write leaves the version before. Versions before that go."""
+        old, held = self.read(name), self.versions(name)
         out = rows if old is None else upsert(old.unionByName(rows.limit(0), allowMissingColumns=True), rows, self.TABLES[name])
-        version = int(self.now[name].rsplit("=", 1)[1]) + 1 if name in self.now else 0
-        to = f"{self.path}/{name}/version={version}"
-        out.write.mode("overwrite").parquet(to)
-        self.now[name] = to
+        out.write.mode("overwrite").parquet(f"{self.path}/{name}/version={held[-1] + 1 if held else 0}")
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        for version in held[:-1]:
+            old_path = hadoop.Path(f"{self.path}/{name}/version={version}")
+            old_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(old_path, True)
 
     def load_documents(self, documents: DataFrame, include_stubs: bool = True) -> None:
         edges = reference_edges(documents)

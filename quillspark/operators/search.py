@@ -360,6 +360,9 @@ def run_search(index: SearchIndex, documents: DataFrame, topics: DataFrame, quer
     With document_index, has_topic and edges the graph-backed search and context are used.
     """
     check_request("-", top_k, top_n, dense_weight)
+    # queries are few by contract; one that is blank, or null, is refused as a single one is
+    if not queries.where(F.col("query").isNull() | (F.regexp_replace("query", r"(?U)\s+", "") == "")).isEmpty():
+        raise ValueError("query must not be empty")
     if document_index is not None:
         pool = hydrate(search_graph(index, document_index, queries, top_k, dense_weight), index.chunks, documents, has_topic, edges)
     else:

@@ -106,7 +106,7 @@ def duplicate_pairs(means: DataFrame, threshold: float = 0.88) -> DataFrame:
     Names are compared a block against a block, each pair of blocks in one task: exact, with one
     copy of the table for each block row.
     """
-    blocks = max(1, min(64, -(-means.count() // 1000)))
+    blocks = max(1, -(-means.count() // 1000))
     dealt = means.withColumn("block", F.pmod(F.xxhash64("name"), F.lit(blocks)))
     every = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
     left = dealt.select(F.col("name").alias("l"), F.col("centroid").alias("lc"), F.col("block").alias("lb"), F.explode(every).alias("rb"))

@@ -395,6 +395,8 @@ def _shared(spark: SparkSession) -> str:
     import tempfile
 
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return base.rstrip("/") if base else "file://" + tempfile.mkdtemp(prefix="quillspark-")
 
 

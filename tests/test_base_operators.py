@@ -5,6 +5,7 @@ import json
 import urllib.error
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,6 +40,9 @@ def test_run_search_reranks_before_it_dedupes(spark, corpus):
     assert "[1] Doc A: sports clubs" in said[3] and set(said) == {1, 2, 3}
     own = search.run_search(index, docs, topics, queries, complete=lambda q, c: "yes" if "Graph Context" in c else None)
     assert {r.answer for r in own.answers.where("query_id = 1").collect()} == {"yes"}
+    for blank in ("", " \n", None):
+        with pytest.raises(ValueError, match="empty"):
+            search.run_search(index, docs, topics, spark.createDataFrame([(1, "law"), (2, blank)], "query_id long, query string"))
     for bad in ({"top_k": 0}, {"top_n": 9, "top_k": 5}, {"dense_weight": 1.5}):
         with pytest.raises(ValueError):
             search.run_search(index, docs, topics, queries, **bad)
@@ -91,6 +95,9 @@ def test_graph_loads_are_upserts(spark, tmp_path):
     assert {(r.id, r.community_id) for r in g.read("documents").collect()} == {("a", 3), ("b", None), ("x", None)} and g.read("documents").count() == 3
     g.load_documents(docs.where("seq = 2").withColumn("title_en", F.lit("B2")))
     assert {r.id: r.title_en for r in g.read("documents").collect()} == {"a": None, "b": "B2", "x": None}
+    later = graph.Graph(spark, f"file://{tmp_path}/g")  # as another session would
+    later.load_documents(docs.where("seq = 2").withColumns({"id": F.lit("n"), "title_en": F.lit("N")}))
+    assert {r.id: r.title_en for r in later.read("documents").collect()} == {"a": None, "b": "B2", "x": None, "n": "N"} and len(later.versions("documents")) == 2
     assert graph.unique(g.read("documents"), ("id",)) and graph.vector_dimension(topics.limit(0), spark.createDataFrame([([],), ([1.0, 2.0],)], "embedding array<double>")) == 2
 
 
@@ -122,6 +129,62 @@ def test_communities_find_cliques(spark):
     assert community.communities(edges.limit(0)).count() == 0 and community.label_propagation(edges, 3).count() == 12
 
 
+def _plain_louvain(edges):
+    """Modularity that plain sequential Louvain reaches: local moves in order, then communities as nodes, until nothing is gained."""
+    nodes = sorted({x for e in edges for x in e})
+    m, label, weight = len(edges), {x: x for x in nodes}, {}
+    for a, b in edges:
+        weight[a, b] = weight.get((a, b), 0) + 1
+    while True:
+        around, degree, inner = {}, {}, {}
+        for (a, b), w in weight.items():
+            degree[a], degree[b] = degree.get(a, 0) + w, degree.get(b, 0) + w
+            if a != b:
+                around.setdefault(a, {})[b] = around.get(a, {}).get(b, 0) + w
+                around.setdefault(b, {})[a] = around.get(b, {}).get(a, 0) + w
+        inner, total, moved, ever = {x: x for x in degree}, dict(degree), True, False
+        while moved:
+            moved = False
+            for x in sorted(degree):
+                total[inner[x]] -= degree[x]
+                toward = {}
+                for y, w in around.get(x, {}).items():
+                    toward[inner[y]] = toward.get(inner[y], 0) + w
+                gain = lambda c: toward.get(c, 0) - degree[x] * total[c] / (2 * m)  # noqa: B023, E731
+                best = max([inner[x], *sorted(toward)], key=gain)
+                if gain(best) > gain(inner[x]) + 1e-9:
+                    inner[x], moved, ever = best, True, True
+                total[inner[x]] += degree[x]
+        label = {x: inner[c] for x, c in label.items()}
+        if not ever:
+            break
+        merged = {}
+        for (a, b), w in weight.items():
+            key = tuple(sorted((inner[a], inner[b])))
+            merged[key] = merged.get(key, 0) + w
+        weight = merged
+    inside = sum(label[a] == label[b] for a, b in edges) / m
+    ends = {}
+    for a, b in edges:
+        for x in (a, b):
+            ends[label[x]] = ends.get(label[x], 0) + 1
+    return inside - sum(d * d for d in ends.values()) / (4 * m * m)
+
+
+def test_modularity_is_that_of_plain_louvain(spark):
+    rng = np.random.default_rng(4)
+    pairs = {tuple(sorted((int(a), int(b)))) for a, b in rng.integers(0, 150, (250, 2)) if a != b}
+    pairs |= {tuple(sorted((15 * g + int(a), 15 * g + int(b)))) for g in range(10) for a, b in rng.integers(0, 15, (60, 2)) if a != b}
+    edges = spark.createDataFrame(sorted(pairs), "a long, b long")
+    found = community.communities(edges)
+    got = community.modularity(edges.withColumn("w", F.lit(1.0)), found.select("node", F.col("community_id").alias("c")))
+    want = _plain_louvain(sorted(pairs))
+    print("modularity", got, "plain", want)
+    assert got > want - 0.03
+    ids = {r.community_id: r.first for r in found.groupBy("community_id").agg(F.min("node").alias("first")).collect()}
+    assert sorted(ids) == list(range(len(ids))) and sorted(ids, key=ids.get) == sorted(ids)
+
+
 EVENTS = [
     (1, "discovered", "s", 9, "u1", 0, "e1", None, None), (2, "status", "s", None, None, None, None, "failed", "x"), (3, "discovered", "s", None, "u2", 1, None, None, None),
     (4, "status", "ghost", None, None, None, None, "done", None), *[(5 + i, "status", "s", None, None, None, None, "failed", "y") for i in range(5)], (20, "discovered", "t", 1, "u3", 0, None, None, None), (21, "status", "t", None, None, None, None, "done", None),
