@@ -138,7 +138,8 @@ def _plain_louvain(edges):
     while True:
         around, degree, inner = {}, {}, {}
         for (a, b), w in weight.items():
-            degree[a], degree[b] = degree.get(a, 0) + w, degree.get(b, 0) + w
+            for x in (a, b):
+                degree[x] = degree.get(x, 0) + w
             if a != b:
                 around.setdefault(a, {})[b] = around.get(a, {}).get(b, 0) + w
                 around.setdefault(b, {})[a] = around.get(b, {}).get(a, 0) + w
@@ -171,7 +172,9 @@ def _plain_louvain(edges):
     return inside - sum(d * d for d in ends.values()) / (4 * m * m)
 
 
-def test_modularity_is_that_of_plain_louvain(spark):
+@pytest.mark.parametrize("small", [0, 200_000])
+def test_modularity_is_that_of_plain_louvain(spark, monkeypatch, small):
+    monkeypatch.setattr(community, "SMALL", small)
     rng = np.random.default_rng(4)
     pairs = {tuple(sorted((int(a), int(b)))) for a, b in rng.integers(0, 150, (250, 2)) if a != b}
     pairs |= {tuple(sorted((15 * g + int(a), 15 * g + int(b)))) for g in range(10) for a, b in rng.integers(0, 15, (60, 2)) if a != b}
