@@ -56,9 +56,12 @@ class Logistic:
     def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, rate: float = 4.0, rounds: int = 250, ridge: float = 1e-4) -> None:
         self.mean = x.mean(0)
         self.scale = 1 / (x.std(0) + 0.02)
-        z = (x - self.mean) * self.scale
-        z = z / max(1.0, float(np.sqrt((z * z).sum(1)).mean()))
-        self.size = max(1.0, float(np.sqrt((((x - self.mean) * self.scale) ** 2).sum(1)).mean()))
+        # one copy of x, changed in place: this runs on the driver
+        z = x - self.mean
+        z *= self.scale
+        lengths = np.concatenate([np.sqrt((z[a : a + ROWS] ** 2).sum(1)) for a in range(0, len(z), ROWS)])
+        self.size = max(1.0, float(lengths.mean()))
+        z /= self.size
         w, b, v, vb = np.zeros(x.shape[1], np.float32), 0.0, np.zeros(x.shape[1], np.float32), 0.0
         weight = (weight / weight.sum()).astype(np.float32)
         for _ in range(rounds):
@@ -151,7 +154,9 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarra
     texts = docs.select("doc_id", "text", "source", "lang", "n_chars").join(picked, "doc_id")
     rows = texts.select("doc_id", "quality", "text", "source", "lang", "n_chars").mapInArrow(vectors, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, quality int, vector binary").toArrow().to_pylist()
     rows.sort(key=lambda r: (r["doc_id"], r["quality"], r["vector"]))
-    x = np.stack([np.frombuffer(r["vector"], np.float32) for r in rows]) if rows else np.zeros((0, 0), np.float32)
+    x = np.zeros((len(rows), len(rows[0]["vector"]) // 4 if rows else 0), np.float32)
+    for i, r in enumerate(rows):  # a vector's bytes go once they are copied
+        x[i] = np.frombuffer(r.pop("vector"), np.float32)
     return x, np.array([r["quality"] for r in rows], int), [r["doc_id"] for r in rows]
 
 
