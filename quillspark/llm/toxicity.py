@@ -72,7 +72,8 @@ class BlockMaxIndex:
         begin = self.begin[terms[short]]
         size = self.begin[terms[short] + 1] - begin
         hit = np.repeat(begin, size) + ranges(size)
-        got = np.bincount(np.repeat(own[short], size) * wide + self.at[hit], np.repeat(weights[short], size) * self.weight[hit], rows * wide).reshape(rows, wide)
+        # without any hit bincount gives integers, whatever the weights
+        got = np.bincount(np.repeat(own[short], size) * wide + self.at[hit], np.repeat(weights[short], size) * self.weight[hit], rows * wide).astype(float).reshape(rows, wide)
         if without is not None:
             mine = np.argsort(self.example)[without]
         bound = asked @ self.most + got.reshape(rows, self.blocks, BLOCK).max(2)

@@ -212,3 +212,13 @@ def test_block_max_index_is_exact(monkeypatch):
                 every[i] = 0
             best = [j for j in np.lexsort((np.arange(300), -every)) if every[j] > 0][:7]
             assert ids.tolist() == best and np.allclose(cosines, every[best])
+
+
+def test_block_max_index_of_long_lists_only():
+    """No term asked for has a short list: the counts of hits are of no weights."""
+    from quillspark.llm import toxicity
+
+    one = np.ones(1)
+    index = toxicity.BlockMaxIndex([(np.array([0]), one), (np.array([1]), one)], 2)
+    (ids, cosines), (none, _) = index.nearest(np.zeros(1, np.int64), np.array([1]), one, 2, 3)
+    assert ids.tolist() == [1] and cosines.tolist() == [1.0] and not len(none)
