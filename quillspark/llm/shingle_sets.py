@@ -18,7 +18,7 @@ SIMILARITY = 0.8  # Jaccard
 BANDS, ROWS = 32, 5  # a pair of exactly 0.8 has no band alike with a probability of (1 - 0.8 ** 5) ** 32, 3 in a million
 SKETCH = BANDS * ROWS // 16  # longs of a set's sketch: four bits of each least hash
 STARS = 6  # rounds at most in which buckets are compared with one member only, before all that is left is
-CROWD = 4000  # members of a bucket from which its pairs are dealt to several tasks
+CROWD = 4000  # members of a bucket, or rows of a shingle in prefixes, from which its pairs are dealt to several tasks
 SHARED_NODES = 500_000  # nodes up to which their keys are broadcast to fetch texts; more are joined by a shuffle
 SPARSE = 1000  # pairs left for each row of the index, up to which all are compared at once
 
@@ -122,17 +122,54 @@ def most_apart(similarity: float) -> float:
     return 2 * n * p + 5.5 * (n * (5 * p - 4 * p * p)) ** 0.5
 
 
+def parities(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """SKETCH longs of each set: 64 * SKETCH bits, each of whether an odd number of its shingles fall there.
+
+    Two sets differ in as many shingles as bits at least, since each shingle that one of them holds turns one bit.
+    """
+    wide, rows = 64 * SKETCH, len(at) - 1
+    own = np.repeat(np.arange(rows), np.diff(at))
+    odd = np.bincount(own * wide + (h % np.uint64(wide)).astype(np.int64), minlength=rows * wide) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(rows, wide), axis=1).view(np.int64)
+
+
 def _sets(df: DataFrame, size: int) -> DataFrame:
-    """node and its shingles, of (node, text)."""
+    """node, its shingles, and the longs of their parities, of (node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             for a, b in steps(offsets):
                 h, at = shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(h.view(np.int64)))], names=["node", "shingles"])
+                odd = np.ascontiguousarray(parities(h, at).T)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(h.view(np.int64))), *map(pa.array, odd)], names=["node", "shingles", *_SKETCH])
+
+    return df.select("node", "text").mapInArrow(run, f"node bigint, shingles array<bigint>, {', '.join(f'{name} bigint' for name in _SKETCH)}")
+
 
-    return df.select("node", "text").mapInArrow(run, "node bigint, shingles array<bigint>")
+def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """node, n, key (a shingle) and at of the shingles by which sets (node, shingles) can be joined without losing a pair of this similarity.
+
+    Shingles stand in order of how many of the sets hold them, rarest first; at is the place in its set.
+    Of two sets so similar the first shingle in common is within the first n - similarity * n + 1 of
+    both. One that a single set holds is in no pair, so it takes a place but no row: a text with
+    that many edits of its own has no rows.
+    """
+    each = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
+    often = each.groupBy("key").agg(F.count("*").alias("f")).where("f > 1")
+    common = each.join(often, "key").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("f", "key"))).alias("common"))
+    alone = F.col("n") - F.size("common")
+    places = F.col("n") - F.ceil(similarity * F.col("n") - 1e-9).cast("int") + 1
+    rows = common.select("node", "n", alone.alias("alone"), F.posexplode(F.slice("common", F.lit(1), F.greatest(places - alone, F.lit(0)))).alias("i", "s"))
+    return rows.select("node", "n", F.col("s.key").alias("key"), (F.col("alone") + F.col("i")).alias("at"))
+
+
+def _unjoined(held: DataFrame, now: DataFrame) -> DataFrame:
+    """The rows of held whose key is in more than one component of now, with c, the key's rows, and m, those of its largest component, most."""
+    placed = held.join(now, "node")
+    part = placed.groupBy("key", "c").agg(F.count("*").alias("m"))
+    mixed = part.groupBy("key").agg(F.sum("m").alias("rows"), F.max(F.struct("m", "c")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    return placed.join(mixed.select("key", "rows", F.col("top.m").alias("m"), F.col("top.c").alias("most")), "key")
 
 
 def similar(df: DataFrame, size: int = WORDS, similarity: float = SIMILARITY, row: str | None = None) -> DataFrame:
@@ -142,17 +179,20 @@ def similar(df: DataFrame, size: int = WORDS, similarity: float = SIMILARITY, ro
     also where ids repeat. row is the column that tells rows apart, a hash of both where none is
     given. Equal sets are one node; null and empty texts are one. An empty table gives an empty table.
     Candidates share a key of a band. While buckets are large each is compared with one member, which
-    joins a large group of copies in as many pairs as it has rows; in the end every pair of a bucket
-    that is in two components is compared, so no candidate is left out. Sketches within a join drop
-    pairs that are far from alike; what is left is verified by the sets. Found pairs are links
-    between components, so a round works on those only.
+    joins a large group of copies in as many pairs as it has rows; sketches within that join drop pairs
+    that are far from alike. In the end all sets of buckets that are in two components are joined by
+    their rarest shingles (prefixes) and compared by parities, which both leave out no pair of the
+    similarity, and few others: a group whose members are all a little too far apart has candidates
+    by the square of its size, but hardly a rare shingle in common. What is left is verified by the
+    sets. Found pairs are links between components, so a round works on those only.
     """
     rows = stored(signed(df, size, row), "signed")
     # the row that stands for a node is one of a smallest hash, so its text can be fetched by a key that no other node has
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.min(F.struct("row", "n", "keys", "sketch")).alias("s"))
     nodes = stored(nodes.select("node", "least", "copies", "s.row", "s.n", "s.keys", "s.sketch"), "nodes")
-    index = nodes.select("node", "n", *(F.col("sketch")[i].alias(name) for i, name in enumerate(_SKETCH)), F.explode("keys").alias("key"))
-    held = stored(index.join(index.groupBy("key").count().where("count > 1").select("key"), "key"), "buckets")
+    index = nodes.select("node", F.explode("keys").alias("key"))
+    shared = index.join(index.groupBy("key").count().where("count > 1").select("key"), "key")
+    held = stored(shared.join(nodes.select("node", "n", *(F.get("sketch", F.lit(i)).alias(name) for i, name in enumerate(_SKETCH))), "node"), "buckets")
     now = held.select("node", F.col("node").alias("c")).distinct()
     if not held.isEmpty():
         chosen = stored(nodes.join(held.select("node").distinct(), "node", "left_semi").select("row", "node"), "chosen")
@@ -165,31 +205,34 @@ def similar(df: DataFrame, size: int = WORDS, similarity: float = SIMILARITY, ro
     last = held.isEmpty()
     turn = 0
     while not last:
-        placed = held.join(now, "node")
-        part = placed.groupBy("key", "c").agg(F.count("*").alias("m"))
-        mixed = part.groupBy("key").agg(F.sum("m").alias("rows"), F.max(F.struct("m", "c")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-        mixed = mixed.select("key", "rows", F.col("top.m").alias("m"), F.col("top.c").alias("most"))
-        placed = stored(placed.join(mixed, "key"), "placed")
+        placed = stored(_unjoined(held, now), "placed")
         weight = placed.groupBy("key").agg(F.first("rows").alias("rows"), F.first("m").alias("m")).agg(F.sum(F.col("rows") * (F.col("rows") - F.col("m"))), F.sum("rows")).first()
         if not weight[1]:
             break
         last = turn == STARS or (turn > 0 and weight[0] <= SPARSE * weight[1])
         names = [F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), *(F.col(name).alias("other_" + name) for name in _SKETCH)]
+        # sets of sizes further apart can't be so similar
+        fits = (F.col("c") != F.col("cb")) & (F.least("n", "nb") >= similarity * F.greatest("n", "nb"))
         if last:
+            some = sets.join(placed.select("node").distinct(), "node", "left_semi")
+            placed = stored(_unjoined(prefixes(some, similarity).join(sets.select("node", *_SKETCH), "node"), now), "prefixes")
+            names.append(F.col("at").alias("at_b"))
+            # both sets hold as many shingles from their first common one on, at most, and differ in as many as their parities, at least
+            most, sizes = F.least(F.col("n") - F.col("at"), F.col("nb") - F.col("at_b")), F.col("n") + F.col("nb")
+            fits = fits & ((1 + similarity) * most >= similarity * sizes - 1e-6) & ((1 + similarity) * _apart("", "other_") <= (1 - similarity) * sizes + 1e-6)
             deal = F.ceil(F.col("rows") / CROWD).cast("long")
             other = placed.where("c <> most").select("key", F.pmod(F.xxhash64("node"), deal).alias("deal"), *names)
             asked = placed.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), deal - 1)))
         else:
+            fits = fits & (_apart("", "other_") <= most_apart(similarity))
             lead = placed.groupBy("key").agg(F.min_by(F.struct(*names), F.xxhash64("node", F.lit(turn))).alias("l"))
             other = lead.select("key", F.lit(0).cast("long").alias("deal"), "l.*")
             asked = placed.withColumn("deal", F.lit(0).cast("long"))
-        # sets of sizes further apart can't be so similar
-        fits = (F.col("c") != F.col("cb")) & (F.least("n", "nb") >= similarity * F.greatest("n", "nb")) & (_apart("", "other_") <= most_apart(similarity))
         # little data, much work: both are dealt to all tasks, whatever their bytes
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         pairs = asked.repartition(tasks, "key", "deal").join(other.repartition(tasks, "key", "deal"), ["key", "deal"]).where(fits)
         pairs = stored(pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"), F.least("c", "cb").alias("ca"), F.greatest("c", "cb").alias("cb")).distinct(), "pairs")
-        one, two = sets.toDF("a", "sa"), sets.toDF("b", "sb")
+        one, two = (sets.select(F.col("node").alias(x), F.col("shingles").alias("s" + x)) for x in "ab")
         rows_of = pairs.repartition(tasks, "a", "b").join(one, "a").join(two, "b")
         both = rows_of.select("ca", "cb", F.size(F.array_intersect("sa", "sb")).alias("both"), (F.size("sa") + F.size("sb")).alias("sizes"))
         good = stored(both.where(F.col("both") >= similarity * (F.col("sizes") - F.col("both"))).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "similar")

@@ -116,6 +116,65 @@ def test_near_duplicates_of_five_word_shingles(spark):
     assert [got[i] for i in range(len(texts))] == root and len(set(root)) < len(texts)
 
 
+def test_a_large_group_of_texts_a_little_too_far_apart(spark, monkeypatch):
+    """Copies of one text, each with edits of its own: the groups are those of all pairs, and far fewer pairs than squares are verified."""
+    from quillspark.llm import shingle_sets
+
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(300):
+        copy = list(base)
+        for j in rng.choice(150, 2 + i % 6, replace=False):
+            copy[j] = f"own{i}x{j}"
+        texts.append(" ".join(copy))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    pairs = []
+
+    def counted(df, name):
+        out = stored(df, name)
+        if name == "pairs":
+            pairs.append(out.count())
+        return out
+
+    stored = shingle_sets.stored
+    monkeypatch.setattr(shingle_sets, "stored", counted)
+    got = {r.doc_id: r.component_id for r in shingle_sets.similar(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == root and 10 < len(set(root)) < len(texts) - 10
+    assert sum(pairs) < 10 * len(texts)
+
+
+def test_joins_by_rare_shingles_lose_no_pair(spark):
+    """prefixes and parities against all pairs of random sets."""
+    from quillspark.llm.shingle_sets import parities, prefixes
+
+    rng = np.random.default_rng(9)
+    sets = []
+    for _ in range(40):
+        one = set(rng.integers(0, 400, rng.integers(1, 60)).tolist())
+        sets += [one, {x for x in one if rng.random() < 0.9} | {int(rng.integers(0, 400))}, one | set(rng.integers(0, 400, 3).tolist())]
+    held = {}
+    for r in prefixes(spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "node long, shingles array<long>"), 0.8).collect():
+        held.setdefault(r.node, set()).add(r.key)
+        assert r.n == len(sets[r.node]) and 0 <= r["at"] < r.n
+    h = np.array([x for s in sets for x in sorted(s)], np.uint64)
+    odd = parities(h * np.uint64(0x9E3779B97F4A7C15), np.concatenate([[0], np.cumsum([len(s) for s in sets])])).view(np.uint64)
+    near = 0
+    for i in range(len(sets)):
+        for j in range(i):
+            assert np.bitwise_count(odd[i] ^ odd[j]).sum() <= len(sets[i] ^ sets[j])
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                near += 1
+                assert held[i] & held[j]
+    assert near > 40
+
+
 def test_links_against_all_pairs(spark):
     from quillspark.llm.components import components
     from quillspark.llm.simhash import links
