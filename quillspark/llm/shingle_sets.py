@@ -1,8 +1,8 @@
-"""Near-duplicates by the Jaccard similarity of word shingle sets: a MinHash index finds candidates, the sets verify them."""
+"""Near-duplicates by the Jaccard similarity of word shingle sets: links of SimHash fingerprints and a MinHash index find candidates, the sets verify them."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -82,8 +82,18 @@ def signatures(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return node, keys, sketch
 
 
+def set_fingerprints(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The SimHash fingerprint of each set, as uint64: a bit is 1 if set in over half of its shingles. Empty sets give 0."""
+    out, some = np.zeros(len(at) - 1, np.uint64), np.diff(at) > 0
+    if some.any():
+        bits = np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        sums = np.add.reduceat(bits, at[:-1][some], axis=0, dtype=np.int32)
+        out[some] = np.packbits(2 * sums > np.diff(at)[some][:, None], axis=1).view(">u8").astype(np.uint64).ravel()
+    return out
+
+
 def signed(df: DataFrame, size: int = WORDS, row: str | None = None) -> DataFrame:
-    """doc_id, row (that column, or a hash of both), node (a hash of the text's shingle set; null and empty texts: 0), n (its shingles), keys (one a band) and sketch of each row."""
+    """doc_id, row (that column, or a hash of both), node (a hash of the text's shingle set; null and empty texts: 0), n (its shingles), fp (its fingerprint), keys (one a band) and sketch of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,10 +105,10 @@ def signed(df: DataFrame, size: int = WORDS, row: str | None = None) -> DataFram
                 for part in parts:
                     ends = np.concatenate([[0], np.cumsum(np.where(np.diff(at) > 0, part.shape[1], 0))]).astype(np.int32)
                     lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(part.ravel().view(np.int64))))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(node.view(np.int64)), pa.array(np.diff(at)), *lists], names=["doc_id", "row", "node", "n", "keys", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(node.view(np.int64)), pa.array(np.diff(at)), pa.array(set_fingerprints(h, at).view(np.int64)), *lists], names=["doc_id", "row", "node", "n", "fp", "keys", "sketch"])
 
     mark = F.xxhash64("doc_id", "text") if row is None else F.col(row)
-    return df.select("doc_id", mark.alias("row"), "text").mapInArrow(run, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, row bigint, node bigint, n bigint, keys array<bigint>, sketch array<bigint>")
+    return df.select("doc_id", mark.alias("row"), "text").mapInArrow(run, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, row bigint, node bigint, n bigint, fp bigint, keys array<bigint>, sketch array<bigint>")
 
 
 _SKETCH = [f"s{i}" for i in range(SKETCH)]
@@ -172,13 +182,35 @@ def _unjoined(held: DataFrame, now: DataFrame) -> DataFrame:
     return placed.join(mixed.select("key", "rows", F.col("top.m").alias("m"), F.col("top.c").alias("most")), "key")
 
 
-def similar(df: DataFrame, size: int = WORDS, similarity: float = SIMILARITY, row: str | None = None) -> DataFrame:
+def _linked(nodes: DataFrame, links: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Pairs (a, b) of nodes: those that stand for two linked fingerprints, and each other node with the one that stands for its fingerprint."""
+    known = nodes.where("n > 0").select("node", "fp")
+    lead = stored(known.groupBy("fp").agg(F.min("node").alias("lead")), "fingerprints")
+    one, two = (lead.select(F.col("fp").alias(x), F.col("lead").alias("lead_" + x)) for x in "ab")
+    far = links(lead.select("fp")).join(one, "a").join(two, "b").select(F.col("lead_a").alias("a"), F.col("lead_b").alias("b"))
+    return far.union(known.join(lead, "fp").where("node <> lead").select("node", "lead"))
+
+
+def _joined(now: DataFrame, pairs: DataFrame, sets: DataFrame, similarity: float, tasks: int) -> DataFrame:
+    """now (node and component c), the components of those pairs (a, b, and their components ca, cb) joined whose sets are so similar."""
+    one, two = (sets.select(F.col("node").alias(x), F.col("shingles").alias("s" + x)) for x in "ab")
+    rows_of = pairs.repartition(tasks, "a", "b").join(one, "a").join(two, "b")
+    both = rows_of.select("ca", "cb", F.size(F.array_intersect("sa", "sb")).alias("both"), (F.size("sa") + F.size("sb")).alias("sizes"))
+    good = stored(both.where(F.col("both") >= similarity * (F.col("sizes") - F.col("both"))).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "similar")
+    roots = components(good).select(F.col("node").alias("c"), "root")
+    return stored(now.join(roots, "c", "left").select("node", F.coalesce("root", "c").alias("c")), "places")
+
+
+def similar(df: DataFrame, size: int = WORDS, similarity: float = SIMILARITY, row: str | None = None, links: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """doc_id, row, node, root and component_id for each row of (doc_id, text): rows are in a component if a chain of pairs of this Jaccard similarity or more joins them.
 
     component_id is the smallest doc_id reachable (null where none is known); root names the component,
     also where ids repeat. row is the column that tells rows apart, a hash of both where none is
     given. Equal sets are one node; null and empty texts are one. An empty table gives an empty table.
-    Candidates share a key of a band. While buckets are large each is compared with one member, which
+    links, where given, takes a table of different fingerprints (fp) and gives the pairs (a, b) of
+    those that are near; the sets of such pairs, and of equal fingerprints, are verified and joined
+    first. Fingerprints see only the nearest pairs, so a second index follows for the others, whose
+    candidates share a key of a band. While buckets are large each is compared with one member, which
     joins a large group of copies in as many pairs as it has rows; sketches within that join drop pairs
     that are far from alike. In the end all sets of buckets that are in two components are joined by
     their rarest shingles (prefixes) and compared by parities, which both leave out no pair of the
@@ -188,20 +220,27 @@ def similar(df: DataFrame, size: int = WORDS, similarity: float = SIMILARITY, ro
     """
     rows = stored(signed(df, size, row), "signed")
     # the row that stands for a node is one of a smallest hash, so its text can be fetched by a key that no other node has
-    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.min(F.struct("row", "n", "keys", "sketch")).alias("s"))
-    nodes = stored(nodes.select("node", "least", "copies", "s.row", "s.n", "s.keys", "s.sketch"), "nodes")
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.min(F.struct("row", "n", "fp", "keys", "sketch")).alias("s"))
+    nodes = stored(nodes.select("node", "least", "copies", "s.row", "s.n", "s.fp", "s.keys", "s.sketch"), "nodes")
     index = nodes.select("node", F.explode("keys").alias("key"))
     shared = index.join(index.groupBy("key").count().where("count > 1").select("key"), "key")
     held = stored(shared.join(nodes.select("node", "n", *(F.get("sketch", F.lit(i)).alias(name) for i, name in enumerate(_SKETCH))), "node"), "buckets")
-    now = held.select("node", F.col("node").alias("c")).distinct()
-    if not held.isEmpty():
-        chosen = stored(nodes.join(held.select("node").distinct(), "node", "left_semi").select("row", "node"), "chosen")
+    wanted = held.select("node")
+    if links is not None:
+        linked = stored(_linked(nodes, links), "linked")
+        wanted = wanted.union(linked.select("a")).union(linked.select("b"))
+    chosen = stored(nodes.join(wanted.distinct(), "node", "left_semi").select("row", "node"), "chosen")
+    now = chosen.select("node", F.col("node").alias("c"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not chosen.isEmpty():
         mark = F.xxhash64("doc_id", "text") if row is None else F.col(row)
         near = F.broadcast(chosen) if chosen.count() <= SHARED_NODES else chosen
         again = df.select(mark.alias("row"), "text").join(near, "row").select("node", "text")
         sets = stored(_sets(again, size), "shingles")
         if sets.count() > chosen.count():  # rows that are alike gave a node's set more than once
             sets = stored(sets.dropDuplicates(["node"]), "sets")
+        if links is not None and not linked.isEmpty():
+            now = _joined(now, linked.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")), sets, similarity, tasks)
     last = held.isEmpty()
     turn = 0
     while not last:
@@ -229,15 +268,9 @@ def similar(df: DataFrame, size: int = WORDS, similarity: float = SIMILARITY, ro
             other = lead.select("key", F.lit(0).cast("long").alias("deal"), "l.*")
             asked = placed.withColumn("deal", F.lit(0).cast("long"))
         # little data, much work: both are dealt to all tasks, whatever their bytes
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         pairs = asked.repartition(tasks, "key", "deal").join(other.repartition(tasks, "key", "deal"), ["key", "deal"]).where(fits)
         pairs = stored(pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"), F.least("c", "cb").alias("ca"), F.greatest("c", "cb").alias("cb")).distinct(), "pairs")
-        one, two = (sets.select(F.col("node").alias(x), F.col("shingles").alias("s" + x)) for x in "ab")
-        rows_of = pairs.repartition(tasks, "a", "b").join(one, "a").join(two, "b")
-        both = rows_of.select("ca", "cb", F.size(F.array_intersect("sa", "sb")).alias("both"), (F.size("sa") + F.size("sb")).alias("sizes"))
-        good = stored(both.where(F.col("both") >= similarity * (F.col("sizes") - F.col("both"))).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "similar")
-        roots = components(good).select(F.col("node").alias("c"), "root")
-        now = stored(now.join(roots, "c", "left").select("node", F.coalesce("root", "c").alias("c")), "places")
+        now = _joined(now, pairs, sets, similarity, tasks)
         turn += 1
     every = nodes.join(now, "node", "left").select("node", "least", "copies", F.coalesce("c", "node").alias("root"))
     named = every.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))

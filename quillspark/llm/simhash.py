@@ -127,8 +127,9 @@ def drop_near_duplicates(docs: DataFrame, size: int = WORDS, similarity: float =
     """One document of each group of near-duplicates stays. Columns are those of docs, which must have doc_id and text.
 
     Near-duplicates are texts whose sets of shingles of so many words have this Jaccard similarity or
-    more, and chains of such (shingle_sets.similar). Fingerprints of 64 bits can't find them: at 0.8
-    about ten bits differ, beyond what RADIUS and segments reach. Rows are told apart by doc_id and a
+    more, and chains of such (shingle_sets.similar). Fingerprints of the same shingles are linked by
+    multi-index hashing, and what links is verified by the sets. At 0.8 about ten of 64 bits differ,
+    beyond what RADIUS and segments reach, so a second index finds the pairs beyond. Rows are told apart by doc_id and a
     hash of all columns, so an id that stands on several texts loses none that is no duplicate. The
     survivor of a group is the row of the smallest doc_id, then the smallest hash; of rows that are
     alike in every column one stays. Null and empty texts are one group. Rows without a doc_id can't
@@ -137,7 +138,7 @@ def drop_near_duplicates(docs: DataFrame, size: int = WORDS, similarity: float =
     """
     row, gone_id, gone_row = (free(name, docs.columns) for name in ("_row", "_gone_id", "_gone_row"))
     marked = docs.withColumn(row, F.xxhash64(*docs.columns))
-    rows = stored(similar(marked, size, similarity, row), "components")
+    rows = stored(similar(marked, size, similarity, row, links), "components")
     known = rows.where("doc_id IS NOT NULL")
     keep = known.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("k")).select("k.doc_id", "k.row")
     each = known.groupBy("doc_id", "row").agg(F.count("*").alias("n"))

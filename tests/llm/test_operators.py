@@ -150,6 +150,36 @@ def test_a_large_group_of_texts_a_little_too_far_apart(spark, monkeypatch):
     assert sum(pairs) < 10 * len(texts)
 
 
+def test_near_duplicates_are_linked_by_fingerprints_first(spark, monkeypatch):
+    """The stage links fingerprints of five-word shingles by multi-index hashing, and joins by that alone what the second index is kept from."""
+    from quillspark.llm import shingle_sets, simhash
+
+    rng = np.random.default_rng(11)
+    texts = []
+    for d in range(6):
+        base = [f"d{d}w{rng.integers(0, 9999)}" for _ in range(1500)]
+        texts += [" ".join(base), " ".join([*base, "more"]), " ".join(base[1:])]
+    texts += [texts[0].upper(), ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = []
+
+    def linked(fps):
+        out = links(fps)
+        found.append({(r.a, r.b) for r in out.collect()})
+        return out
+
+    links = simhash.links
+    monkeypatch.setattr(simhash, "links", linked)
+    fps = np.array([r.fp for r in shingle_sets.signed(docs).select("fp").where("n > 0").distinct().collect()], np.int64)
+    signed = shingle_sets.signed
+    monkeypatch.setattr(shingle_sets, "signed", lambda *args: signed(*args).withColumn("keys", F.array().cast("array<bigint>")))
+    near = np.bitwise_count(fps.view(np.uint64)[:, None] ^ fps.view(np.uint64)[None, :]) <= simhash.RADIUS
+    want = {frozenset((int(fps[i]), int(fps[j]))) for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True)}
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()}
+    assert len(found) == 1 and {frozenset(x) for x in found[0]} == want and len(found[0]) == len(want) > 4
+    assert kept == {0, 3, 6, 9, 12, 15, 19}
+
+
 def test_joins_by_rare_shingles_lose_no_pair(spark):
     """prefixes and parities against all pairs of random sets."""
     from quillspark.llm.shingle_sets import parities, prefixes
