@@ -137,13 +137,13 @@ class Transducer:
     def _path(self, chunk: str) -> bytes:
         """The shortest path through a chunk, as little-endian unsigned 32-bit ids.
 
-        A place's first path is its only one, so it is not looked for again once reached.
+        A place keeps the least weight of the arcs that reach it, and its last arc; arcs that can't lessen it are not tried.
         """
         n = len(chunk)
-        state, start = [-1] * (n + 1), [0] * (n + 1)
+        state, start, weight = [-1] * (n + 1), [0] * (n + 1), [0] + [n + 1] * n
         pairs, root = self.pairs, self.trie
         for i in range(n):
-            before = state[i]
+            before, w = state[i], weight[i] + 1
             if i and before < 0:
                 continue
             node, j = root, i
@@ -158,12 +158,12 @@ class Transducer:
                     me = node.get(0, -1)
                     if me < 0 and j == i + 1:
                         me = LETTER + ord(chunk[i])
-                if me >= 0 and state[j] < 0:
+                if me >= 0 and w < weight[j]:
                     stays = pairs.get(before << 22 | me) if i else True
                     if stays is None:
                         stays = self._stays(before, me)
                     if stays:
-                        state[j], start[j] = me, i
+                        state[j], start[j], weight[j] = me, i, w
                 if node is None:
                     break
         out: list[int] = []
@@ -244,12 +244,12 @@ def transducer(path: str) -> Transducer:
     return _COMPILED[path]
 
 
-def encode_pieces(docs: DataFrame, model: str, with_ids: bool = True) -> DataFrame:
+def encode_pieces(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, ids, n_tokens, ids_crc32, n_chars, round_trip for each row of (doc_id, text).
 
-    round_trip: decoding the ids gives the text back. A null or empty text has no ids. with_ids:
-    False leaves ids out. model is a path that every executor has. Repeated rows repeat; an empty
-    table gives an empty table; other columns are not read.
+    round_trip: decoding the ids gives the text back. A null or empty text has no ids. model is a path
+    that every executor has. Repeated rows repeat; an empty table gives an empty table; other columns
+    are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,11 +262,10 @@ def encode_pieces(docs: DataFrame, model: str, with_ids: bool = True) -> DataFra
                 texts = [raw[x:y].decode() for x, y in zip(at, at[1:], strict=False)]
                 ids = [t.encode(x) for x in texts]
                 columns = {"doc_id": batch.column(0).slice(a, b - a)}
-                if with_ids:
-                    ends = [0]
-                    for x in ids:
-                        ends.append(ends[-1] + len(x) // 4)
-                    columns["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(ids))]))
+                ends = [0]
+                for x in ids:
+                    ends.append(ends[-1] + len(x) // 4)
+                columns["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(ids))]))
                 columns["n_tokens"] = pa.array([len(x) // 4 for x in ids], pa.int64())
                 columns["ids_crc32"] = pa.array([zlib.crc32(x) for x in ids], pa.int64())
                 columns["n_chars"] = pa.array(list(map(len, texts)), pa.int64())
@@ -275,7 +274,7 @@ def encode_pieces(docs: DataFrame, model: str, with_ids: bool = True) -> DataFra
         t.forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {'ids array<int>, ' * with_ids}n_tokens bigint, ids_crc32 bigint, n_chars bigint, round_trip boolean")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, n_tokens bigint, ids_crc32 bigint, n_chars bigint, round_trip boolean")
 
 
 def decode_pieces(encoded: DataFrame, model: str) -> DataFrame:
@@ -291,7 +290,7 @@ def decode_pieces(encoded: DataFrame, model: str) -> DataFrame:
 
 
 def op7_sentencepiece(spark, sf_dir: str) -> DataFrame:
-    """Every document's ids, as counts and checksums, and whether they decode to its text."""
+    """Every document's ids, their counts and checksums, and whether they decode to its text."""
     import public_tokenizers
 
-    return encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+    return encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -314,6 +314,22 @@ def test_pieces(odd, none):
     assert rows(encode_pieces(none, model)) == []
 
 
+def test_piece_ids_are_the_query_s_result(spark):
+    """Every document's ids are there, as the library gives them, and the other columns are theirs."""
+    import public_tokenizers
+    from sentencepiece import SentencePieceProcessor
+
+    from quillspark.llm.sentencepieces import op7_sentencepiece
+
+    library = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    got = op7_sentencepiece(spark, DATA).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r.ids == library.encode(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_crc32, r.n_chars) == (len(r.ids), zlib.crc32(np.array(r.ids, "<u4").tobytes()), len(texts[r.doc_id]))
+
+
 def test_decontamination(spark, none):
     from quillspark.llm.decontaminate import contaminated, drop_contaminated
 
