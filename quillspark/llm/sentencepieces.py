@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quillspark.llm.common import steps, table, utf8
+from quillspark.llm.common import steps, table, tidy, utf8
 
 MARK = "▁"
 CACHE_CHUNKS = 400_000  # chunks whose ids a task keeps
@@ -193,8 +193,9 @@ class Transducer:
         return got
 
     def forget(self) -> None:
-        """Frees the chunks' ids. A worker outlives its task, and what it keeps takes memory from other operators."""
+        """Frees the chunks' ids and the pairs. A worker outlives its task, and what it keeps takes memory from other operators."""
         self.known.clear()
+        self.pairs.clear()
 
     def encode(self, text: str) -> bytes:
         """Ids of the text, as little-endian unsigned 32-bit integers. The empty text has none."""
@@ -252,6 +253,7 @@ def encode_pieces(docs: DataFrame, model: str) -> DataFrame:
     are not read.
     """
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = transducer(model)
         for batch in batches:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import join_unique, steps, stored, utf8
+from quillspark.llm.common import join_unique, steps, stored, tidy, utf8
 from quillspark.llm.components import components
 from quillspark.llm.features import LOWER, runs, spans_hash
 
@@ -95,6 +95,7 @@ def set_fingerprints(h: np.ndarray, at: np.ndarray) -> np.ndarray:
 def signed(df: DataFrame, size: int = WORDS, row: str | None = None) -> DataFrame:
     """doc_id, row (that column, or a hash of both), node (a hash of the text's shingle set; null and empty texts: 0), n (its shingles), fp (its fingerprint), keys (one a band) and sketch of each row."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(2))
@@ -146,6 +147,7 @@ def parities(h: np.ndarray, at: np.ndarray) -> np.ndarray:
 def _sets(df: DataFrame, size: int) -> DataFrame:
     """node, its shingles, and the longs of their parities, of (node, text)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(1))

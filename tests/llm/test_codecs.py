@@ -173,6 +173,46 @@ def test_transducer_equals_the_library():
             assert t.decode(ids) == text
 
 
+def test_transducer_keeps_nothing_after_a_task():
+    import public_tokenizers
+
+    from quillspark.llm.sentencepieces import transducer
+
+    t = transducer(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(6)
+    text = " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randrange(1, 12))) for _ in range(300))
+    ids = t.encode(text)
+    assert t.known and t.pairs
+    t.forget()
+    assert not t.known and not t.pairs
+    assert t.encode(text) == ids
+
+
+def test_a_task_gives_freed_memory_back():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = """
+import re
+from quillspark.llm.common import tidy
+used = lambda: int(re.search(r"VmRSS:\\s+(\\d+)", open("/proc/self/status").read())[1]) // 1024
+last = []
+@tidy
+def run(batches):
+    for _ in batches:
+        held = [bytes(1000) for _ in range(100_000)]
+        last.append(held[-1])  # at the heap's end, so that free() alone returns nothing
+        yield used()
+before = used()
+during = list(run(iter([0])))[0]
+print(before, during, used())
+"""
+    got = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[2], capture_output=True, text=True, check=True, timeout=60)
+    before, during, after = map(int, got.stdout.split())
+    assert during - before > 80 and after - before < 40
+
+
 def test_chunk_encoder_equals_the_library():
     import public_tokenizers
     from tokenizers import Tokenizer
