@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from quillspark.session import bounded_batches
+
 DIMENSION = 384
 
 
@@ -57,44 +59,71 @@ def hash_slots(text: Column | str, dimension: int = DIMENSION) -> Column:
 
 
 def hash_nonzeros(rows: DataFrame, key: str, text: str, dimension: int = DIMENSION) -> DataFrame:
-    """(key, place, value) of the sums that aren't 0, before they are brought to length 1."""
-    each = rows.select(key, F.explode(hash_slots(text, dimension)).alias("s"))
-    return each.groupBy(key, F.col("s.place").alias("place")).agg(F.sum("s.sign").alias("value")).where("value <> 0")
+    """(key, place, value) of the sums that aren't 0, before they are brought to length 1. A row is a text of its own."""
+    bounded_batches(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots = Slots(dimension)
+        for batch in batches:
+            row, place, value = slots.sums([x.split("\n") if x else [] for x in batch.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(place.astype(np.int32)), pa.array(value)], names=[key, "place", "value"])
+
+    # the words have no line ends
+    words = F.array_join(F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"(?U)\S+"), F.lit(0)), "\n")
+    return rows.select(key, words.alias("_w")).mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, place int, value bigint")
+
+
+class Slots(dict):
+    """word -> 2 * place, and 1 more where its sign is +; what was worked out is kept, up to a bound, from batch to batch."""
+
+    MOST = 500_000
+
+    def __init__(self, dimension: int = DIMENSION) -> None:
+        super().__init__()
+        self.dimension = dimension
+
+    def __missing__(self, word: str) -> int:
+        h = hashlib.sha256(word.encode()).digest()
+        slot = self[word] = int.from_bytes(h[:4], "big") % self.dimension * 2 + 1 - h[4] % 2
+        return slot
+
+    def sums(self, rows: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, place, value) of the sums that aren't 0 of each row's words, by row and place."""
+        if len(self) > self.MOST:
+            self.clear()
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+        each = np.fromiter(map(self.__getitem__, chain.from_iterable(rows)), np.int64, int(lengths.sum()))
+        key = np.repeat(np.arange(len(rows)) * self.dimension, lengths) + each // 2
+        total = np.bincount(key, weights=each % 2 * 2 - 1, minlength=len(rows) * self.dimension).astype(np.int64)
+        at = np.flatnonzero(total)
+        return at // self.dimension, at % self.dimension, total[at]
+
+    def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """sums of texts' words."""
+        return self.sums([(value or "").lower().split() for value in texts.to_pylist()])
+
+
+def at_length_one(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
+    """value of each (row, place), the row's values at length 1; sums of squares are whole numbers, so their order is nothing."""
+    return value / np.sqrt(np.bincount(row, weights=value.astype(np.float64) ** 2, minlength=rows))[row]
 
 
-def _slot(word: str, dimension: int) -> tuple[int, int]:
-    h = hashlib.sha256(word.encode()).digest()
-    return int.from_bytes(h[:4], "big") % dimension, 1 if h[4] % 2 == 0 else -1
+def sparse_vectors(row: np.ndarray, place: np.ndarray, value: np.ndarray, rows: int) -> pa.ListArray:
+    """Unit vectors as lists of (place, weight), in order of place."""
+    entries = pa.StructArray.from_arrays([pa.array(place.astype(np.int32)), pa.array(at_length_one(row, value, rows))], names=["place", "weight"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)), entries)
 
 
 def hash_sparse(rows: DataFrame, key: str, text: str, dimension: int = DIMENSION) -> DataFrame:
     """(key, vector): unit vectors as arrays of (place, weight) in order of place, empty where nothing is left.
 
-    hash_nonzeros says the same in SQL, by two shuffles of all words; this one adds up within a row,
-    in Arrow batches, and shuffles nothing.
+    hash_nonzeros says the same in SQL's terms; both add up within a row, in Arrow batches, and shuffle nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[int, int]] = {}
+        slots = Slots(dimension)
         for batch in batches:
-            ends, places, weights = [0], [], []
-            for value in batch.column(1).to_pylist():
-                counts = Counter((value or "").lower().split())
-                if len(known) > 200_000:
-                    known.clear()
-                total = np.zeros(dimension)
-                for word, n in counts.items():
-                    slot = known.get(word)
-                    if slot is None:
-                        slot = known[word] = _slot(word, dimension)
-                    total[slot[0]] += n * slot[1]
-                at = np.flatnonzero(total)
-                size = np.sqrt((total[at] ** 2).sum())
-                places.append(at)
-                weights.append(total[at] / (size or 1))
-                ends.append(ends[-1] + len(at))
-            entries = pa.StructArray.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *places]).astype(np.int32)), pa.array(np.concatenate([np.zeros(0), *weights]))], names=["place", "weight"])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)], names=[key, "vector"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), sparse_vectors(*slots.of_texts(batch.column(1)), batch.num_rows)], names=[key, "vector"])
 
     return rows.select(key, text).mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, vector array<struct<place:int,weight:double>>")
 
