@@ -53,19 +53,24 @@ def normalized_name(name: Column | str) -> Column:
 
 def keyword_topics(text: Column, rules: dict[str, tuple[str, ...]] | None = None, most: int = RULE_TOPICS) -> Column:
     """Names of the rules of which some keyword is in the text (as part of a word too), by rank, the first few."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    hit = lambda words: F.greatest(*(F.contains(low, F.lit(w.lower())) for w in words), F.lit(False))
-    return F.slice(F.array_compact(F.array(*(F.when(hit(words), F.lit(name)) for name, words in (rules or KEYWORDS).items()))), 1, most)
+    hit = lambda low, words: F.greatest(*(F.contains(low, F.lit(w.lower())) for w in words), F.lit(False))
+    named = lambda low: F.slice(F.array_compact(F.array(*(F.when(hit(low, words), F.lit(name)) for name, words in (rules or KEYWORDS).items()))), 1, most)
+    # a lambda's argument is worked out once, not again for each word
+    return F.get(F.transform(F.array(F.lower(F.coalesce(text, F.lit("")))), named), F.lit(0))
 
 
 def rule_topics(documents: DataFrame) -> DataFrame:
     """(document_id, seq, name, canonical_name, confidence, evidence): keyword rules, or the document's type where none holds."""
     text = F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in ("title_ar", "title_en", "content_ar", "content_en")))
     rows = documents.select(F.col("id").alias("document_id"), truthy("document_type").alias("kind"), keyword_topics(text).alias("names"))
-    ruled = rows.select("document_id", F.posexplode("names").alias("seq", "name")).select("document_id", "seq", "name", F.col("name").alias("canonical_name"), F.lit(RULE_CONFIDENCE).alias("confidence"), F.lit("keyword fallback").alias("evidence"))
-    named = normalized_name(F.replace(F.col("kind"), F.lit("_"), F.lit(" ")))
-    typed = rows.where((F.size("names") == 0) & F.col("kind").isNotNull()).select("document_id", F.lit(0).alias("seq"), named.alias("name")).select("document_id", "seq", "name", F.col("name").alias("canonical_name"), F.lit(TYPE_CONFIDENCE).alias("confidence"), F.lit("document type fallback").alias("evidence"))
-    return ruled.unionByName(typed)
+    # one pass: no filter that would have the names worked out again
+    kind = F.when(F.size("names") == 0, F.replace(F.col("kind"), F.lit("_"), F.lit(" ")))
+    rows = rows.select("document_id", "names", normalized_name(kind).alias("typed"))
+    entry = lambda name, confidence, evidence: F.struct(name.alias("name"), F.lit(confidence).alias("confidence"), F.lit(evidence).alias("evidence"))
+    ruled = F.transform("names", lambda n: entry(n, RULE_CONFIDENCE, "keyword fallback"))
+    typed = F.filter(F.array(entry(F.col("typed"), TYPE_CONFIDENCE, "document type fallback")), lambda x: x["name"].isNotNull())
+    each = rows.select("document_id", F.posexplode(F.concat(ruled, typed)).alias("seq", "t"))
+    return each.select("document_id", "seq", "t.name", F.col("t.name").alias("canonical_name"), "t.confidence", "t.evidence")
 
 
 def model_topics(replies: DataFrame) -> DataFrame:

@@ -17,3 +17,10 @@ def test_nonzeros_shuffle_nothing(spark):
     assert "Exchange" not in plan(got)
     each = df.select("id", F.explode(vectors.hash_slots("text")).alias("s")).groupBy("id", "s.place").agg(F.sum("s.sign").alias("value")).where("value <> 0")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, each.collect()))
+
+
+def test_topics_read_a_text_once(spark):
+    docs = spark.createDataFrame([("a", None, "Tax court", None, "x", "law"), ("b", None, None, None, "y", "royal_decree"), ("c", None, None, None, "y", None)], "id string, title_ar string, title_en string, content_ar string, content_en string, document_type string")
+    ruled = topics.rule_topics(docs)
+    assert plan(ruled).count("Scan") == 1 and "Union" not in plan(ruled)
+    assert sorted((r.document_id, r.seq, r.name) for r in ruled.collect()) == [("a", 0, "Taxation"), ("a", 1, "Judiciary"), ("b", 0, "Royal Decree")]
