@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.session import bounded_batches
+
 REFERENCE = "STRUCT<source_slug:STRING,target_url:STRING,rel_type:STRING,anchor_text:STRING,context:STRING,target_slug:STRING>"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

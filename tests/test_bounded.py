@@ -24,3 +24,11 @@ def test_topics_read_a_text_once(spark):
     ruled = topics.rule_topics(docs)
     assert plan(ruled).count("Scan") == 1 and "Union" not in plan(ruled)
     assert sorted((r.document_id, r.seq, r.name) for r in ruled.collect()) == [("a", 0, "Taxation"), ("a", 1, "Judiciary"), ("b", 0, "Royal Decree")]
+
+
+def test_pages_come_in_bounded_batches(spark):
+    from quillspark.plans import tables
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    tables.table(spark, "/root/testdata/sf0.001", "pages")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2000
