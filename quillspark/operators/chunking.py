@@ -20,12 +20,17 @@ def window_texts(text: Column | str, max_tokens: int, overlap: int) -> Column:
     """The whole trimmed text where it has max_tokens words or fewer; else windows of so many, which share overlap words."""
     _check(max_tokens, overlap)
     c = F.col(text) if isinstance(text, str) else text
-    each, stride = words(c), max_tokens - overlap
-    last = F.ceil((F.size(each) - max_tokens) / F.lit(stride)).cast("int")
-    cut = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.array_join(F.slice(each, i * stride + 1, F.lit(max_tokens)), " "))
-    whole = F.regexp_replace(c, r"^(?U)\s+|(?U)\s+$", "")
-    none = F.array().cast("array<string>")
-    return F.when(F.size(each) == 0, none).when(F.size(each) <= max_tokens, F.array(whole)).otherwise(cut)
+    stride = max_tokens - overlap
+
+    def windows(each: Column) -> Column:
+        last = F.ceil((F.size(each) - max_tokens) / F.lit(stride)).cast("int")
+        cut = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.array_join(F.slice(each, i * stride + 1, F.lit(max_tokens)), " "))
+        whole = F.regexp_replace(c, r"^(?U)\s+|(?U)\s+$", "")
+        none = F.array().cast("array<string>")
+        return F.when(F.size(each) == 0, none).when(F.size(each) <= max_tokens, F.array(whole)).otherwise(cut)
+
+    # a lambda's argument is worked out once, not again for each window
+    return F.get(F.transform(F.array(words(c)), windows), F.lit(0))
 
 
 def sections(docs: DataFrame, keys: tuple[str, ...], text: str) -> DataFrame:

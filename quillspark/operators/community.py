@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import random
-import tempfile
-import uuid
 import warnings
 
 import pyarrow as pa
@@ -13,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import truthy
+from quillspark.session import stored
 
 #: Bounds that a run isn't meant to reach: it ends when nothing moves and modularity no longer rises, and warns otherwise.
 LEVELS, SWEEPS = 20, 60
@@ -23,17 +22,7 @@ LABELS, TITLES = 15, 8  # of a community's description
 
 
 def _stored(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder of spark.checkpoint.dir (unset, as in tests: a folder of this machine), which cuts lineage."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.split("[")[0] == "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="quillspark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/community-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stored(df, "community")
 
 
 def modularity(edges: DataFrame, labels: DataFrame) -> float:

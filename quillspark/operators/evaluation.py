@@ -2,16 +2,55 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.operators.search import Reranker, SearchIndex, best_per_document, expand, rerank, search_dense, search_hybrid
+from quillspark.operators.search import QUERIES, Reranker, SearchIndex, best_per_document, expand, rerank, search_dense, search_hybrid, with_documents
+from quillspark.session import bounded_batches, stored
 
 STAGES = ("dense", "hybrid_graph", "hybrid_graph_rerank")
 
 
+def holders(rows: DataFrame, key: str, text: str, passages: DataFrame, item: str, passage: str) -> DataFrame:
+    """(item, key) of each passage and each text that holds it, for a bounded table of passages.
+
+    A text is searched only for passages whose longest inner word it has: a word between blanks
+    within a passage stands between the same blanks in a text that holds it. Passages of fewer than
+    three words are searched for in all texts.
+    """
+    few = passages.select(item, passage).limit(QUERIES + 1).toArrow()
+    if few.num_rows > QUERIES:
+        return rows.join(passages, F.contains(text, passage)).select(item, key)
+    bounded_batches(rows.sparkSession)
+    ids = few[item].combine_chunks()
+    by_word: dict[str, list[tuple[int, str]]] = {}
+    short: list[tuple[int, str]] = []
+    for i, p in enumerate(few[passage].to_pylist()):
+        if p is not None:
+            inner = p.split()[1:-1]
+            (by_word.setdefault(max(inner, key=len), []) if inner else short).append((i, p))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = by_word.keys()
+        for batch in batches:
+            at, found = [], []
+            for n, value in enumerate(batch.column(1).to_pylist()):
+                if value is None:
+                    continue
+                maybe = short + [x for w in known & set(value.split()) for x in by_word[w]]
+                for i, p in maybe:
+                    if p in value:
+                        at.append(n)
+                        found.append(i)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(found, pa.int64())), batch.column(0).take(pa.array(at, pa.int64()))], names=[item, key])
+
+    kinds = (passages.schema[item].dataType.simpleString(), rows.schema[key].dataType.simpleString())
+    return rows.select(key, text).mapInArrow(run, f"`{item}` {kinds[0]}, `{key}` {kinds[1]}")
+
+
 def restrict_expected(labelled: DataFrame, documents: DataFrame) -> DataFrame:
     """Labelled queries (id, query, expected_document_ids, notes), with expected ids that are documents only."""
     each = labelled.select("id", F.posexplode("expected_document_ids").alias("pos", "d"))
@@ -47,9 +86,10 @@ def score(candidates: DataFrame, labelled: DataFrame, stage: str, k: int = 3) ->
 
 def evaluate(index: SearchIndex, documents: DataFrame, topics: DataFrame, labelled: DataFrame, top_k: int = 20, k: int = 3, dense_weight: float = 0.35, load: Callable[[], Reranker] | None = None) -> DataFrame:
     """Metrics of three stages at one depth: dense only, hybrid with context, and reranked (without a model: as before)."""
-    known = restrict_expected(labelled, documents)
+    # what is read for each stage is found once
+    known = stored(restrict_expected(labelled, documents), "labelled")
     queries = known.select(F.col("id").alias("query_id"), "query")
-    near = search_dense(index, queries, top_k).join(index.chunks.select("chunk_id", "document_id"), "chunk_id")
+    near = with_documents(search_dense(index, queries, top_k), index)
     pool = expand(search_hybrid(index, queries, top_k, dense_weight), index.chunks, documents, topics)
     again = rerank(pool, queries, load)
     stages = [score(rows, known, stage, k) for stage, rows in zip(STAGES, (near, pool, again), strict=True)]

@@ -142,8 +142,7 @@ def hybrid_topk(spark, sf_dir):
     SELECT * EXCLUDE (rank, r), r::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS r FROM best) WHERE r <= 5""")
 def hybrid_dedup_topn(spark, sf_dir):
     index = _index(spark, sf_dir)
-    hits = search.search_hybrid(index, tables.queries(spark, sf_dir), 50).join(index.chunks.select("chunk_id", "document_id"), "chunk_id")
-    return search.best_per_document(hits, 5)
+    return search.best_per_document(search.with_documents(search.search_hybrid(index, tables.queries(spark, sf_dir), 50), index), 5)
 
 
 _WINDOWS = f"""wins AS (SELECT doc_id * 10000 + nth AS chunk_id, doc_id AS document_id, array_to_string(t[nth * 80 + 1 : nth * 80 + 100], ' ') AS text
@@ -316,8 +315,7 @@ def _labelled(spark, sf_dir):
     """Benchmark items, with the documents that hold them expected."""
     asked = tables.table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage"))
     docs = tables.table(spark, sf_dir, "documents").select("doc_id", "text")
-    # a small table against all documents, by design
-    held = docs.join(search._small(asked), F.contains("text", "passage")).groupBy("item_id").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
+    held = evaluation.holders(docs, "doc_id", "text", asked, "item_id", "passage").groupBy("item_id").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
     named = F.transform(F.coalesce("ids", F.array().cast("array<bigint>")), lambda d: F.concat(F.lit("d"), d.cast("string")))
     return asked.join(held, "item_id", "left").select(F.col("item_id").alias("id"), F.col("passage").alias("query"), named.alias("expected_document_ids"), F.lit("").alias("notes"))
 
