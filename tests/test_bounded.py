@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspark.functions import vectors
-from quillspark.operators import chunking, evaluation, search, topics
+from quillspark.operators import chunking, community, evaluation, search, topics
 
 
 def plan(df) -> str:
@@ -116,3 +116,20 @@ def test_pages_come_in_bounded_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     tables.table(spark, "/root/testdata/sf0.001", "pages")
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2000
+
+
+def test_sweeps_send_nothing_through_the_driver(spark, monkeypatch):
+    """Two squares with an edge between: swept by all, no table of any sweep is broadcast, and modularity is as by hand."""
+    squares = [(f"{s}{i}", f"{s}{j}") for s in "ab" for i in range(4) for j in range(i)] + [("a0", "b0")]
+    edges = spark.createDataFrame([tuple(sorted(e)) for e in squares], "a string, b string")
+    plans, keep = [], community._stored
+    monkeypatch.setattr(community, "SMALL", 0)
+    monkeypatch.setattr(community, "_stored", lambda df: plans.append(plan(df)) or keep(df))
+    found = community.communities(edges)
+    assert len(plans) > 5 and not any("BroadcastExchange" in p for p in plans)
+    groups = {}
+    for r in found.collect():
+        groups.setdefault(r.community_id, set()).add(r.node)
+    assert {frozenset(g) for g in groups.values()} == {frozenset(f"{s}{i}" for i in range(4)) for s in "ab"}
+    labels = found.select("node", F.col("community_id").alias("c"))
+    assert abs(community.modularity(edges.withColumn("w", F.lit(1.0)), labels) - (12 / 13 - 2 * (13 / 26) ** 2)) < 1e-9
